@@ -1,0 +1,43 @@
+"""Connected components of an edge table, by alternating large-star and small-star steps."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from tintwell.llm.scratch import drop, staged
+
+SALTS = 16
+
+
+def _star(arcs: DataFrame) -> DataFrame:
+    """(u, v, m): m is the smallest of u and its neighbours. A node with very many arcs is dealt over SALTS join keys."""
+    least = arcs.groupBy("u").agg(F.min("v").alias("w")).select("u", F.least("u", "w").alias("m"))
+    least = least.select("*", F.explode(F.array(*map(F.lit, range(SALTS)))).alias("s"))
+    return arcs.withColumn("s", F.pmod(F.xxhash64("v"), F.lit(SALTS)).cast("int")).join(least, ["u", "s"])
+
+
+def components(edges: DataFrame, max_rounds: int = 64) -> DataFrame:
+    """(node, root) for every node of edges (u, v): root is the smallest node that it can reach.
+
+    Nodes are of one orderable type. Loops and repeated edges are ignored. Every round is written as a table; the loop
+    ends when a round changes nothing, which is certain, as each step only lowers ends of arcs.
+    """
+    now = staged(edges.where("u is not null and v is not null and u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "arcs")
+    mark = F.struct(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")))
+    seen = now.agg(mark).first()[0]
+    for _ in range(max_rounds):
+        both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        large = _star(both).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        stars = _star(large)
+        small = stars.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(stars.select("u", F.col("m").alias("v")))
+        after = staged(small.where("u <> v").distinct(), "arcs")
+        drop(now)
+        now, before = after, seen
+        seen = now.agg(mark).first()[0]
+        if seen == before:
+            break
+    else:
+        raise RuntimeError("components did not settle")
+    nodes = now.select(F.col("u").alias("node"), F.col("v").alias("root"))
+    return nodes.unionByName(now.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())

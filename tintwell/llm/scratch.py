@@ -1,0 +1,59 @@
+"""Written intermediate tables, so that a lost executor never costs more than one step."""
+
+from __future__ import annotations
+
+import atexit
+import contextlib
+import tempfile
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
+
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+_own_root: str | None = None
+_written: list[tuple[SparkSession, str]] = []
+
+
+def root(spark: SparkSession) -> str:
+    """The shared folder that the cluster names in spark.checkpoint.dir; a temporary one only where none is named."""
+    global _own_root
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if named:
+        return named.rstrip("/")
+    if _own_root is None:
+        _own_root = tempfile.mkdtemp(prefix="tintwell-")
+        atexit.register(_remove_own)
+    return _own_root
+
+
+def _remove_own() -> None:
+    import shutil
+
+    shutil.rmtree(_own_root, ignore_errors=True)
+
+
+def staged(df: DataFrame, label: str) -> DataFrame:
+    """Write df as Parquet in the shared folder and read it back; shuffle files of the write are dropped at once."""
+    spark = df.sparkSession
+    path = f"{root(spark)}/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
+    before = spark.conf.get(CLEANUP, None)
+    with contextlib.suppress(Exception):
+        spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        with contextlib.suppress(Exception):
+            spark.conf.unset(CLEANUP) if before is None else spark.conf.set(CLEANUP, before)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._tintwell_path = path
+    return out
+
+
+def drop(df: DataFrame) -> None:
+    """Delete a table that staged() wrote and that no later frame reads."""
+    path = getattr(df, "_tintwell_path", None)
+    if path:
+        spark = df.sparkSession
+        jvm = spark.sparkContext._jvm
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
