@@ -9,7 +9,9 @@ as many sequences as its tokens fill: full ones, then one for each power of two
 
 from __future__ import annotations
 
+import json
 import re
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -18,47 +20,71 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-MEMO = 400_000
+MEMO = 800_000
 _WORDS = re.compile(r"[\x20\x09-\x0D]+")
+# The pattern of the vocabulary file, and the same classes for text below U+0180 in lower case.
+PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+_LETTERS, _NUMBERS, _BLANKS = "a-zªµºß-öø-ſ", "0-9²³¹¼½¾", "\t-\r \x85\xa0"
+_PARTS = re.compile(f"'(?:s|t|re|ve|m|ll|d)|[{_LETTERS}]+|[{_NUMBERS}]|[^{_LETTERS}{_NUMBERS}{_BLANKS}]+")
+_OTHER = re.compile("[^\x00-\u017f]|<\\|")
 _encoders: dict[str, WordEncoder] = {}
 
 
+def _byte_letters() -> dict[int, int]:
+    """The printable stand-in of each byte in a byte-level vocabulary."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = [b for b in range(256) if b not in plain]
+    return {b: b for b in plain} | {b: 256 + k for k, b in enumerate(others)}
+
+
 class WordEncoder:
-    """Ids of whole texts by a tokenizers file that drops white space; words that were met before are looked up.
+    """Ids of whole texts by a tokenizers file that drops white space; parts of texts that were met before are looked up.
 
-    Its pre-tokenizer must drop white space and never join what white space parts, which is checked on a few texts; the
-    ids of a text are then the ids of its words in order.
+    Texts of Western letters are parted by the file's own pattern and each part is merged by the file's model alone. Texts
+    with other letters or special strings are parted at white space and each word goes through the whole tokenizer, which
+    must treat words apart from each other; that is checked on a few texts.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[str, bytes] = {"": b""}
-        for probe in ("a b", "it 's\n\tx  1 2", "don't . , é ʼn", "<|endoftext|> a<|endoftext|>b"):
-            if self._ids(probe) != b"".join(map(self._ids, probe.split())):
+        file = json.loads(self.tokenizer.to_str())
+        self.western = PATTERN in json.dumps(file["pre_tokenizer"], ensure_ascii=False).replace("\\\\", "\\") and [n["type"] for n in file["normalizer"]["normalizers"]] == ["NFC", "Replace", "Lowercase"]
+        self.letters = _byte_letters()
+        self.words: dict[str, bytes] = {"": b""}
+        self.parts: dict[str, bytes] = {}
+        for probe in ("a b", "it 's\n\tx  1 2", "don't . , é ʼn", "<|endoftext|> a<|endoftext|>b", "Ça ½ İx_y\x1c\xa0² 'LLo''s"):
+            whole = np.array(self.tokenizer.encode(probe, add_special_tokens=False).ids, "<u4").tobytes()
+            if whole != b"".join(map(self._word, _WORDS.split(probe))):
                 raise ValueError("this tokenizer does not treat words apart from each other")
-
-    def _ids(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+            self.western = self.western and ("<|" in probe or "ʼ" in probe or whole == self._western(probe))
+
+    def _word(self, word: str) -> bytes:
+        found = self.words.get(word)
+        if found is None:
+            if len(self.words) >= MEMO:
+                self.words = {"": b""}
+            found = self.words[word] = np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
+        return found
+
+    def _western(self, text: str) -> bytes:
+        parts = _PARTS.findall(text.lower())
+        known = self.parts
+        try:
+            return b"".join(map(known.__getitem__, parts))
+        except KeyError:
+            if len(known) >= MEMO:
+                known.clear()
+            tokenize, letters = self.tokenizer.model.tokenize, self.letters
+            for part in parts:
+                if part not in known:
+                    known[part] = array("I", [t.id for t in tokenize(part.encode().decode("latin-1").translate(letters))]).tobytes()
+            return b"".join(map(known.__getitem__, parts))
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
-        out = []
-        for text in texts:
-            words = _WORDS.split(text)
-            try:
-                out.append(b"".join(map(self.known.__getitem__, words)))
-            except KeyError:
-                if len(self.known) >= MEMO:
-                    self.known = {"": b""}
-                new = list({w for w in words if w not in self.known})
-                for at in range(0, len(new), 4096):
-                    part = new[at : at + 4096]
-                    for word, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True):
-                        self.known[word] = np.array(e.ids, "<u4").tobytes()
-                out.append(b"".join(map(self.known.__getitem__, words)))
-        return out
+        return [self._western(t) if self.western and not _OTHER.search(t) else b"".join(map(self._word, _WORDS.split(t))) for t in texts]
 
 
 def word_encoder(path: str) -> WordEncoder:
