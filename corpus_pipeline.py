@@ -1,9 +1,65 @@
-"""Corpus preparation in stages."""
+"""Corpus preparation in five stages: quality, exact copies, near copies, personal data, packing."""
 
-STAGES = []
+from __future__ import annotations
+
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tintwell.llm import exact_dedup, packing, pii, quality, simhash
+from tintwell.llm.queries import PII_KEY, WORD_BPE
+from tintwell.llm.scratch import staged
+
+
+def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents that the quality vote accepts; labels come from the labels table of sf_dir."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return quality.score(docs, quality.fit(docs, labels)).where("predicted = 1").select(*docs.columns)
+
+
+def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One row, that of the smallest id, of each group of equal texts."""
+    return exact_dedup.exact_dedup(docs).where("kept").select(*docs.columns)
+
+
+def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document, that of the smallest id, of each component of close fingerprints; rows without an id stay."""
+    groups = simhash.simhash_groups(docs)
+    gone = groups.where("component_id <> doc_id").select("doc_id")
+    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+
+
+def pseudonymised(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, with personal data under pseudonyms and n_chars following the text."""
+    done = pii.pseudonymise(docs, PII_KEY)
+    if "n_chars" in docs.columns:
+        done = done.withColumn("n_chars", F.when(F.size("pii") > 0, F.length("text").cast("bigint")).otherwise(F.col("n_chars")))
+    return done.select(*docs.columns)
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every token of every document, in pieces of sequences of 4096."""
+    pieces = packing.pack(docs, public_tokenizers.path(WORD_BPE))
+    return pieces.withColumn("ids_crc32", F.crc32("token_ids"))
+
+
+STAGES = [
+    ("quality classifier", good_quality),
+    ("exact dedup", without_copies),
+    ("simhash near-dedup", without_near_copies),
+    ("pii", pseudonymised),
+    ("packing", packed),
+]
+
+#: The quality vote and the tokenizer have no SQL form; tests hold the stages against plain versions.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    """The documents themselves, as no stage is defined yet."""
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over documents, each written and read again before the next one."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for k, (_, stage) in enumerate(STAGES):
+        docs = stage(spark, docs, sf_dir)
+        if k < len(STAGES) - 1:
+            docs = staged(docs, f"stage-{k}")
+    return docs

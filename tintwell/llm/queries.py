@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tintwell.llm import ann, exact_dedup, langid, packing, pii, quality, sampling, simhash, substring, token_counts
+from tintwell.llm import ann, exact_dedup, langid, packing, piece_codec, pii, quality, sampling, simhash, substring, token_counts
 
 WORD_BPE, PIECE_BPE = "word_bpe_49k.json", "piece_bpe_32k.model"
 #: The key of the registered query; a deployment passes its own secret to pii.pseudonymise.
@@ -68,7 +68,15 @@ def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", sampling.held_out("doc_id").alias("held_out"), "lang_pred", "score", F.size("spans").alias("n_spans"))
 
 
-QUERIES = {f.__name__: f for f in (op1_quality, op2_neighbours, op3_packing, op4_pii, op5_exact_dedup, op6_simhash, op7_token_counts, op8_substring_dedup, op9_language)}
+def op10_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dropout encoding of every whole text of documents, and the digest of what it decodes to."""
+    path = public_tokenizers.path(PIECE_BPE)
+    coded = piece_codec.encode(_read(spark, sf_dir, "documents"), path, dropout=0.1, seed=0)
+    back = piece_codec.decode(coded, path)
+    return back.select("doc_id", "variant", "n_tokens", "piece_ids", F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256"))
+
+
+QUERIES = {f.__name__: f for f in (op1_quality, op2_neighbours, op3_packing, op4_pii, op5_exact_dedup, op6_simhash, op7_token_counts, op8_substring_dedup, op9_language, op10_piece_codec)}
 
 ORACLE_SQL = {
     "op5_exact_dedup": r"""
