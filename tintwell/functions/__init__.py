@@ -1 +1 @@
-
+"""Column builders; none of them runs a job."""

@@ -1 +1 @@
-
+"""Relational operators over lineage, annotation, extraction and colour tables."""
