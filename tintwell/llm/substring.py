@@ -115,7 +115,9 @@ def _repeated_anchors(docs: DataFrame, size: int, window: int) -> DataFrame:
     found = staged(docs.mapInArrow(run, "h bigint, id bigint, place int, n tinyint"), "anchors")
     total = F.count(F.lit(1)).over(Window.partitionBy("h"))
     met = found.where("n < 3").withColumn("all", total).where("all > 1 or n = 2").select("id", "place")
-    return met.unionByName(found.where("n = 3").select("id", "place"))
+    kept = staged(met.unionByName(found.where("n = 3").select("id", "place")), f"repeated-{size}")
+    drop(found)
+    return kept
 
 
 def _extended(docs: DataFrame, kept: DataFrame, size: int, window: int, base: int) -> DataFrame:
@@ -149,7 +151,7 @@ def repeated_windows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     if base < 2 or window % base or (window // base) & (window // base - 1):
         raise ValueError("window must be base times a power of two")
     texts = docs.where(F.col(id_col).isNotNull() & F.col(text_col).isNotNull()).select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text"))
-    kept = staged(_repeated_anchors(texts, base, window), f"repeated-{base}")
+    kept = _repeated_anchors(texts, base, window)
     size = 2 * base
     while size < window:
         longer = staged(_extended(texts, kept, size, window, base), "extended")
@@ -191,7 +193,9 @@ def repeated_windows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     drop(kept)
     place = F.rank().over(Window.partitionBy("h", "g").orderBy("id", "place"))
     later = found.where("n = 0").withColumn("r", place).where("r > 1").select("id", "place", F.lit(1).alias("n"))
-    return later.unionByName(found.where("n > 0").select("id", "place", "n"))
+    marks = staged(later.unionByName(found.where("n > 0").select("id", "place", "n")), "marks")
+    drop(found)
+    return marks
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 20, base: int = 10) -> DataFrame:
