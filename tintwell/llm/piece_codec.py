@@ -8,6 +8,7 @@ step takes the best remaining candidate of every unit. With rate 0 the result is
 
 from __future__ import annotations
 
+import hashlib
 import heapq
 from collections.abc import Iterator
 
@@ -19,7 +20,7 @@ from pyspark.sql import functions as F
 
 from tintwell.llm.token_counts import SPACE, PieceModel, piece_model
 
-MEMO, LONG = 500_000, 48
+MEMO, LONG = 320_000, 48
 #: A literal U+2581 in a text, which would be read as a space; no text holds a lone surrogate.
 _LITERAL = "\udfff"
 _codecs: dict[tuple, Codec] = {}
@@ -211,11 +212,12 @@ def codec(path: str, dropout: float, seed: int) -> Codec:
     return _codecs[key]
 
 
-def encode(docs: DataFrame, model_path: str, dropout: float = 0.1, seed: int = 0, variants: int = 4, id_col: str = "doc_id", text_col: str = "text", block: int = 1024) -> DataFrame:
+def encode(docs: DataFrame, model_path: str, dropout: float = 0.1, seed: int = 0, variants: int = 4, id_col: str = "doc_id", text_col: str = "text", verify: bool = False, block: int = 512) -> DataFrame:
     """(id, variant, n_tokens, piece_ids) of every row, from its whole text.
 
     A row's variant is a hash of seed and id, one of `variants`; within a variant equal units of text get equal pieces.
-    A null or empty text has no pieces. Repeated rows are encoded alike; null ids are returned as they come. Other columns
+    With verify, decoded_sha256 is the digest of what the pieces decode to, found in the same pass. A null or empty text
+    has no pieces and decodes to the empty text. Repeated rows are encoded alike; null ids are returned as they come. Other columns
     are not read.
     """
 
@@ -229,11 +231,16 @@ def encode(docs: DataFrame, model_path: str, dropout: float = 0.1, seed: int = 0
                 counts = np.array([len(g) // 4 for g in got], np.int64)
                 flat = pa.array(np.frombuffer(b"".join(got), "<i4"))
                 lists = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(counts)].astype(np.int32)), flat)
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(2), pa.array(counts), lists], names=[id_col, "variant", "n_tokens", "piece_ids"])
+                columns, names = [part.column(0), part.column(2), pa.array(counts), lists], [id_col, "variant", "n_tokens", "piece_ids"]
+                if verify:
+                    back = (c.decode(np.frombuffer(g, "<i4").tolist()) for g in got)
+                    columns.append(pa.array([hashlib.sha256(t.encode("utf-8", "surrogatepass")).hexdigest() for t in back], pa.string()))
+                    names.append("decoded_sha256")
+                yield pa.RecordBatch.from_arrays(columns, names=names)
 
     kind = docs.schema[id_col].dataType.simpleString()
     variant = F.pmod(F.xxhash64(F.lit(seed), F.col(id_col)), F.lit(variants)).cast("int").alias("variant")
-    return docs.select(id_col, text_col, variant).mapInArrow(run, f"`{id_col}` {kind}, variant int, n_tokens bigint, piece_ids array<int>")
+    return docs.select(id_col, text_col, variant).mapInArrow(run, f"`{id_col}` {kind}, variant int, n_tokens bigint, piece_ids array<int>" + ", decoded_sha256 string" * verify)
 
 
 def decode(rows: DataFrame, model_path: str, ids_col: str = "piece_ids", to: str = "text") -> DataFrame:
