@@ -9,6 +9,7 @@ import unicodedata
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, StringType
 
 # The regular expressions and word lists that define results.
 SHADE_CODE = r"(?<![A-Z0-9])#?\s*([A-Z]*\d+[A-Z0-9-]*)"
@@ -25,17 +26,17 @@ ILLEGAL_IN_NAMES = r'[<>:"/\\|?*\x00-\x1F]'
 IMAGE_SUFFIXES = ("jpg", "jpeg", "png", "gif", "webp", "bmp", "tif", "tiff", "avif", "heic", "heif")
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def nfkc(s: pd.Series) -> pd.Series:
     return s.map(lambda t: None if t is None else t if t.isascii() else unicodedata.normalize("NFKC", t))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def nfkc_casefold(s: pd.Series) -> pd.Series:
     return s.map(lambda t: None if t is None else unicodedata.normalize("NFKC", t).casefold())
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def nfc(s: pd.Series) -> pd.Series:
     return s.map(lambda t: None if t is None else t if t.isascii() else unicodedata.normalize("NFC", t))
 
@@ -98,7 +99,7 @@ def safe_component(value: Column, fallback: str, max_length: int = 120, ascii_on
     return F.when(F.length(clean) > max_length, short).otherwise(clean)
 
 
-@F.pandas_udf("array<string>")
+@F.pandas_udf(ArrayType(StringType()))
 def image_urls(raw: pd.Series) -> pd.Series:
     """URLs of a JSON or Python list, of objects with url or src, or of a single value; null where it is none of these."""
 

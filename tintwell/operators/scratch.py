@@ -10,6 +10,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
 _own_root: str | None = None
 _written: list[tuple[SparkSession, str]] = []
 
@@ -57,3 +58,15 @@ def drop(df: DataFrame) -> None:
         jvm = spark.sparkContext._jvm
         p = jvm.org.apache.hadoop.fs.Path(path)
         p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def bounded_batches(df: DataFrame, size: str = "4m") -> DataFrame:
+    """df, in a session whose Arrow batches are held to a few megabytes unless the user has set a size.
+
+    Whole texts go to Python in these batches, and buffers for them are held on both sides of the pipe.
+    """
+    conf = df.sparkSession.conf
+    if conf.get(BATCH, "67108864b") in ("67108864b", "67108864"):
+        with contextlib.suppress(Exception):
+            conf.set(BATCH, size)
+    return df
