@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tintwell.operators.scratch import staged
+from tintwell.operators.scratch import bounded_batches, staged
 
 LINKS, CANDIDATES, BEAM = 16, 64, 128
 INDEX = "shard int, ids binary, starts binary, vectors binary, dim int, layers array<struct<nodes: binary, offsets: binary, neighbours: binary>>"
@@ -206,6 +206,6 @@ def search(graphs: DataFrame, rows: DataFrame, queries: Column, id_col: str = "v
                 out = [(q["id"], v, s) for q in row["asked"] for s, v in graph.near(np.array(q["v"]), k, beam, q["id"])]
                 yield pa.RecordBatch.from_arrays([pa.array([o[0] for o in out], pa.int64()), pa.array([o[1] for o in out], pa.int64()), pa.array([o[2] for o in out], pa.float64())], names=["query_id", "vec_id", "score"])
 
-    found = sent.join(graphs, "shard").mapInArrow(run, "query_id bigint, vec_id bigint, score double")
+    found = bounded_batches(sent.join(graphs, "shard")).mapInArrow(run, "query_id bigint, vec_id bigint, score double")
     place = F.row_number().over(Window.partitionBy("query_id").orderBy("score", "vec_id"))
     return found.withColumn("rank", place.cast("int")).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tintwell.llm.sampling import bounded, held_out
+from tintwell.operators.scratch import bounded_batches
 
 # First and last code point of common scripts, from the Unicode block list.
 SCRIPTS = {
@@ -194,7 +195,7 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
             part = keys[at : at + 10_000]
             yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in part]), pa.array([k[1] for k in part]), pa.array([k[2] for k in part], pa.int32()), pa.array([found[k] for k in part], pa.int64())], names=["lang", "gram", "kind", "n"])
 
-    counted = sample.select(text_col, "_lang").mapInArrow(run, "lang string, gram string, kind int, n bigint").groupBy("lang", "gram", "kind").agg(F.sum("n").alias("n"))
+    counted = bounded_batches(sample.select(text_col, "_lang")).mapInArrow(run, "lang string, gram string, kind int, n bigint").groupBy("lang", "gram", "kind").agg(F.sum("n").alias("n"))
     got = counted.orderBy(F.desc("n"), "lang", "gram", "kind").limit(max_grams).collect()
     if not got:
         return None
@@ -235,4 +236,4 @@ def identify(docs: DataFrame, model: LanguageModel | None, id_col: str = "doc_id
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(preds, pa.string()), pa.array(scores, pa.float64()), spans_a], names=[id_col, "lang_pred", "score", "spans"])
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(id_col, text_col).mapInArrow(run, f"`{id_col}` {kind}, lang_pred string, score double, spans array<struct<first: int, end: int, lang: string, letters: int>>")
+    return bounded_batches(docs.select(id_col, text_col)).mapInArrow(run, f"`{id_col}` {kind}, lang_pred string, score double, spans array<struct<first: int, end: int, lang: string, letters: int>>")

@@ -20,6 +20,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tintwell.operators.scratch import bounded_batches
+
 MEMO = 800_000
 _WORDS = re.compile(r"[\x20\x09-\x0D]+")
 # The pattern of the vocabulary file, and the same classes for text below U+0180 in lower case.
@@ -184,7 +186,7 @@ def pack(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col:
 
     names = [id_col, "start", "length", "doc_tokens", "sequence_id", "offset", "token_ids"]
     kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(id_col, text_col).mapInArrow(run, f"`{id_col}` {kind}, start bigint, length bigint, doc_tokens bigint, sequence_id bigint, offset bigint, token_ids binary")
+    return bounded_batches(docs.select(id_col, text_col)).mapInArrow(run, f"`{id_col}` {kind}, start bigint, length bigint, doc_tokens bigint, sequence_id bigint, offset bigint, token_ids binary")
 
 
 def digests(pieces: DataFrame, id_col: str = "doc_id") -> DataFrame:

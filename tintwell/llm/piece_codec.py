@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tintwell.llm.token_counts import SPACE, PieceModel, piece_model
+from tintwell.operators.scratch import bounded_batches
 
 MEMO, LONG = 320_000, 48
 #: A literal U+2581 in a text, which would be read as a space; no text holds a lone surrogate.
@@ -240,7 +241,7 @@ def encode(docs: DataFrame, model_path: str, dropout: float = 0.1, seed: int = 0
 
     kind = docs.schema[id_col].dataType.simpleString()
     variant = F.pmod(F.xxhash64(F.lit(seed), F.col(id_col)), F.lit(variants)).cast("int").alias("variant")
-    return docs.select(id_col, text_col, variant).mapInArrow(run, f"`{id_col}` {kind}, variant int, n_tokens bigint, piece_ids array<int>" + ", decoded_sha256 string" * verify)
+    return bounded_batches(docs.select(id_col, text_col, variant)).mapInArrow(run, f"`{id_col}` {kind}, variant int, n_tokens bigint, piece_ids array<int>" + ", decoded_sha256 string" * verify)
 
 
 def decode(rows: DataFrame, model_path: str, ids_col: str = "piece_ids", to: str = "text") -> DataFrame:
@@ -254,4 +255,4 @@ def decode(rows: DataFrame, model_path: str, ids_col: str = "piece_ids", to: str
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], names=[*batch.schema.names, to])
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema)
-    return rows.mapInArrow(run, f"{fields}, `{to}` string")
+    return bounded_batches(rows).mapInArrow(run, f"{fields}, `{to}` string")

@@ -15,6 +15,8 @@ from math import isqrt
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from tintwell.operators.scratch import bounded_batches
+
 ROUNDS = 8
 
 
@@ -216,4 +218,4 @@ def pseudonymise(docs: DataFrame, key: bytes, text_col: str = "text") -> DataFra
             yield pa.RecordBatch.from_arrays(columns, names=[*batch.schema.names, "pii"])
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    return docs.mapInArrow(run, f"{fields}, pii array<struct<kind: string, start: int, end: int>>")
+    return bounded_batches(docs).mapInArrow(run, f"{fields}, pii array<struct<kind: string, start: int, end: int>>")

@@ -17,9 +17,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tintwell.llm.sampling import bounded, held_out
+from tintwell.operators.scratch import bounded_batches
 
 SHAPES, WORDS, BANDS = 768, 768, 64
-FEATURES, MEMO = SHAPES + WORDS + BANDS, 400_000
+FEATURES, MEMO = SHAPES + WORDS + BANDS, 150_000
 
 
 class _Memo(dict):
@@ -111,7 +112,7 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "quality", id_col:
                 rows = [features(t) for t in part.column(1).to_pylist()]
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array([r.tobytes() for r in rows], pa.binary())], names=["label", "f"])
 
-    got = docs.select(id_col, text_col).join(sample, id_col).select("_label", text_col).mapInArrow(run, "label int, f binary").collect()
+    got = bounded_batches(docs.select(id_col, text_col).join(sample, id_col).select("_label", text_col)).mapInArrow(run, "label int, f binary").collect()
     y = np.array([r["label"] for r in got], np.float64)
     x = np.frombuffer(b"".join(bytes(r["f"]) for r in got), np.float32).reshape(len(got), FEATURES)
     if not len(y):
@@ -147,4 +148,4 @@ def score(docs: DataFrame, voter: Voter, id_col: str = "doc_id", text_col: str =
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(s, pa.float64()), pa.array((s >= threshold).astype(np.int32), pa.int32())], names=[*part.schema.names, "score", "predicted"])
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    return docs.mapInArrow(run, f"{fields}, score double, predicted int")
+    return bounded_batches(docs).mapInArrow(run, f"{fields}, score double, predicted int")

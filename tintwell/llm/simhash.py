@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tintwell.operators.graph import components
-from tintwell.operators.scratch import staged
+from tintwell.operators.scratch import bounded_batches, staged
 
 #: Blocks of the 64 bits; pairs at a distance of at most 2 agree in at least two of the four.
 BLOCKS, SEED = 4, 42
@@ -44,7 +44,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps, pa.int64())], names=[id_col, "fp"])
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(id_col, text_col).mapInArrow(run, f"`{id_col}` {kind}, fp bigint")
+    return bounded_batches(docs.select(id_col, text_col)).mapInArrow(run, f"`{id_col}` {kind}, fp bigint")
 
 
 def links(fps: DataFrame, within: int = 2, bucket: int = 64) -> DataFrame:

@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tintwell.operators.scratch import drop, staged
+from tintwell.operators.scratch import bounded_batches, drop, staged
 
 MEMO = 300_000
 _A, _B, _C = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9)
@@ -112,7 +112,7 @@ def _repeated_anchors(docs: DataFrame, size: int, window: int) -> DataFrame:
                 s = slice(at, at + 50_000)
                 yield pa.RecordBatch.from_arrays([pa.array(k[s]), pa.array(i[s]), pa.array(p[s].astype(np.int32)), pa.array(n[s])], names=["h", "id", "place", "n"])
 
-    found = staged(docs.mapInArrow(run, "h bigint, id bigint, place int, n tinyint"), "anchors")
+    found = staged(bounded_batches(docs).mapInArrow(run, "h bigint, id bigint, place int, n tinyint"), "anchors")
     total = F.count(F.lit(1)).over(Window.partitionBy("h"))
     met = found.where("n < 3").withColumn("all", total).where("all > 1 or n = 2").select("id", "place")
     kept = staged(met.unionByName(found.where("n = 3").select("id", "place")), f"repeated-{size}")
@@ -135,7 +135,7 @@ def _extended(docs: DataFrame, kept: DataFrame, size: int, window: int, base: in
                 keys, places = np.concatenate([r[0] for r in rows]).view(np.int64), np.concatenate([r[1] for r in rows]).astype(np.int32)
                 yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(np.full(len(keys), doc, np.int64)), pa.array(places)], names=["h", "id", "place"])
 
-    return docs.join(_by_document(kept), "id").select("id", "text", "places").mapInArrow(run, "h bigint, id bigint, place int")
+    return bounded_batches(docs.join(_by_document(kept), "id").select("id", "text", "places")).mapInArrow(run, "h bigint, id bigint, place int")
 
 
 def _by_document(kept: DataFrame) -> DataFrame:
@@ -189,7 +189,7 @@ def repeated_windows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
                 s = show[at : at + 50_000]
                 yield pa.RecordBatch.from_arrays([pa.array(k[s, 0]), pa.array(k[s, 1]), pa.array(i[s]), pa.array(p[s].astype(np.int32)), pa.array(n[s])], names=["h", "g", "id", "place", "n"])
 
-    found = staged(texts.join(_by_document(kept), "id").select("id", "text", "places").mapInArrow(run, "h bigint, g bigint, id bigint, place int, n int"), "windows")
+    found = staged(bounded_batches(texts.join(_by_document(kept), "id").select("id", "text", "places")).mapInArrow(run, "h bigint, g bigint, id bigint, place int, n int"), "windows")
     drop(kept)
     place = F.rank().over(Window.partitionBy("h", "g").orderBy("id", "place"))
     later = found.where("n = 0").withColumn("r", place).where("r > 1").select("id", "place", F.lit(1).alias("n"))
@@ -229,7 +229,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     kind = docs.schema[id_col].dataType.simpleString()
     both = docs.select(id_col, text_col).join(marks, F.col(id_col).cast("bigint") == F.col("_id"), "left").select(id_col, text_col, "marks")
-    return both.mapInArrow(run, f"`{id_col}` {kind}, n_words bigint, n_removed bigint, kept_text binary").withColumn("kept_text", F.col("kept_text").cast("string"))
+    return bounded_batches(both).mapInArrow(run, f"`{id_col}` {kind}, n_words bigint, n_removed bigint, kept_text binary").withColumn("kept_text", F.col("kept_text").cast("string"))
 
 
 def digests(rows: DataFrame, id_col: str = "doc_id") -> DataFrame:

@@ -13,6 +13,8 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from tintwell.operators.scratch import bounded_batches
+
 SPACE, MEMO = "▁", 600_000
 _UNITS = re.compile(f"\n|{SPACE}*[^{SPACE}\n]+|{SPACE}+")
 _models: dict[str, PieceModel] = {}
@@ -166,4 +168,4 @@ def token_counts(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_
 
     kind = docs.schema[id_col].dataType.simpleString()
     more = ", prefix_tokens array<int>" if prefixes else ""
-    return docs.select(id_col, text_col).mapInArrow(run, f"`{id_col}` {kind}, n_bytes bigint, n_tokens bigint, over_limit boolean{more}")
+    return bounded_batches(docs.select(id_col, text_col)).mapInArrow(run, f"`{id_col}` {kind}, n_bytes bigint, n_tokens bigint, over_limit boolean{more}")
