@@ -24,7 +24,8 @@ def normalised(text: Column) -> Column:
 def _with_key(docs: DataFrame, id_col: str, text_col: str, runs: int) -> DataFrame:
     norm = normalised(F.col(text_col)).cast("binary")
     return docs.select(
-        *docs.columns,
+        F.struct("*").alias("_row"),  # as one column, so that no name of docs meets one of these
+        F.col(id_col).alias("_id"),
         F.unhex(F.sha2(norm, 256)).alias("_digest"),
         F.octet_length(norm).alias("_bytes"),
         F.xxhash64(norm).alias("_check"),
@@ -44,7 +45,7 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     out = ["keep_id", "group_size", "kept", "text_sha256"]
     docs = docs.drop(*(c for c in docs.columns if c.lower() in out and c not in (id_col, text_col)))
     keyed = _with_key(docs, id_col, text_col, runs)
-    level = keyed.groupBy(*KEY, "_run").agg(F.min(id_col).alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
+    level = keyed.groupBy(*KEY, "_run").agg(F.min("_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
     levels = [staged(level, "digest-runs")]
     width = runs
     while width > 1:
@@ -56,12 +57,12 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         below = levels.pop().select(*KEY, F.col("_run").alias("_low"), F.floor(F.col("_run") / fan_in).cast("int").alias("_run"))
         result = below.join(result, [*KEY, "_run"]).select(*KEY, F.col("_low").alias("_run"), "keep_id", "group_size")
     joined = keyed.join(result, [*KEY, "_run"])
-    again = F.row_number().over(Window.partitionBy(*KEY, "_run", id_col).orderBy(id_col))
+    again = F.row_number().over(Window.partitionBy(*KEY, "_run", "_id").orderBy("_id"))
     # Null ids are one run, so at most one row of an all-null group has number 1.
     return joined.withColumn("_again", again).select(
-        *docs.columns,
+        *(F.col("_row")[c].alias(c) for c in docs.columns),
         "keep_id",
         "group_size",
-        (F.col(id_col).eqNullSafe(F.col("keep_id")) & (F.col("_again") == 1)).alias("kept"),
+        (F.col("_id").eqNullSafe(F.col("keep_id")) & (F.col("_again") == 1)).alias("kept"),
         F.lower(F.hex("_digest")).alias("text_sha256"),
     )

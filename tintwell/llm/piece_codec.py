@@ -17,6 +17,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from tintwell.llm.token_counts import SPACE, PieceModel, piece_model
 from tintwell.operators.scratch import bounded_batches
@@ -254,5 +255,4 @@ def decode(rows: DataFrame, model_path: str, ids_col: str = "piece_ids", to: str
             texts = [None if v is None else c.decode(v) for v in batch.column(ids_col).to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], names=[*batch.schema.names, to])
 
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema)
-    return bounded_batches(rows).mapInArrow(run, f"{fields}, `{to}` string")
+    return bounded_batches(rows).mapInArrow(run, StructType([*rows.schema.fields, StructField(to, StringType())]))

@@ -14,6 +14,7 @@ from math import isqrt
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
 from tintwell.operators.scratch import bounded_batches
 
@@ -208,14 +209,14 @@ def pseudonymise(docs: DataFrame, key: bytes, text_col: str = "text") -> DataFra
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         by = Pseudonymiser(key)
-        span = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())]))
+        spans = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())]))
         for batch in batches:
             at = batch.schema.get_field_index(text_col)
             done = [by.text(t.as_py()) for t in batch.column(at)]
             columns = list(batch.columns)
             columns[at] = pa.array([t for t, _ in done], pa.string())
-            columns.append(pa.array([[{"kind": k, "start": a, "end": b} for k, a, b in s] for _, s in done], span))
+            columns.append(pa.array([[{"kind": k, "start": a, "end": b} for k, a, b in s] for _, s in done], spans))
             yield pa.RecordBatch.from_arrays(columns, names=[*batch.schema.names, "pii"])
 
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    return bounded_batches(docs).mapInArrow(run, f"{fields}, pii array<struct<kind: string, start: int, end: int>>")
+    span = StructType().add("kind", StringType()).add("start", IntegerType()).add("end", IntegerType())
+    return bounded_batches(docs).mapInArrow(run, StructType([*docs.schema.fields, StructField("pii", ArrayType(span))]))

@@ -15,6 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
 
 from tintwell.llm.sampling import bounded, held_out
 from tintwell.operators.scratch import bounded_batches
@@ -147,5 +148,4 @@ def score(docs: DataFrame, voter: Voter, id_col: str = "doc_id", text_col: str =
                 s = shared.value.scores(np.stack(rows))
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(s, pa.float64()), pa.array((s >= threshold).astype(np.int32), pa.int32())], names=[*part.schema.names, "score", "predicted"])
 
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    return bounded_batches(docs).mapInArrow(run, f"{fields}, score double, predicted int")
+    return bounded_batches(docs).mapInArrow(run, StructType([*docs.schema.fields, StructField("score", DoubleType()), StructField("predicted", IntegerType())]))
