@@ -22,7 +22,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 from tintwell.llm.token_counts import SPACE, PieceModel, piece_model
 from tintwell.operators.scratch import bounded_batches
 
-MEMO, LONG = 320_000, 48
+MEMO, LONG = 480_000, 48
 #: A literal U+2581 in a text, which would be read as a space; no text holds a lone surrogate.
 _LITERAL = "\udfff"
 _codecs: dict[tuple, Codec] = {}
@@ -55,20 +55,44 @@ class Codec:
                 left, right = ids.get(piece[:cut]), ids.get(piece[cut:])
                 if left is not None and right is not None:
                     pairs.append((left << 32 | right, whole))
-        pairs.sort()
-        self.pair = np.array([p for p, _ in pairs] + [1 << 62], np.int64)
-        self.whole = np.array([w for _, w in pairs] + [-1], np.int32)
+        self._hash_pairs(pairs)
         #: Rank of each piece, the best score first.
         self.rank = np.empty(len(self.model.pieces), np.int32)
         order = sorted(range(len(self.model.pieces)), key=lambda i: -self.model.score.get(self.model.pieces[i], -1e9))
         self.rank[order] = np.arange(len(order))
         self.known: dict[tuple[int, str] | str, bytes] = {}
 
+    def _hash_pairs(self, pairs: list[tuple[int, int]]) -> None:
+        """An open hash table of all pairs of pieces whose join is a piece, at most half full."""
+        self.mask = (1 << (2 * len(pairs)).bit_length()) - 1
+        self.pair, self.whole = np.full(self.mask + 1, -1, np.int64), np.full(self.mask + 1, -1, np.int32)
+        keys = np.array([p for p, _ in pairs], np.int64)
+        wholes = np.array([w for _, w in pairs], np.int32)
+        slot = self._slot(keys)
+        left = np.arange(len(keys))
+        while len(left):
+            free = self.pair[slot[left]] < 0
+            first = left[free][np.unique(slot[left][free], return_index=True)[1]]
+            self.pair[slot[first]], self.whole[slot[first]] = keys[first], wholes[first]
+            left = left[self.pair[slot[left]] != keys[left]]
+            slot[left] = (slot[left] + 1) & self.mask
+
+    def _slot(self, keys: np.ndarray) -> np.ndarray:
+        return (_mix(keys.astype(np.uint64)) & np.uint64(self.mask)).astype(np.int64)
+
     def _joined(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """The piece that each pair makes, or -1."""
-        key = left.astype(np.int64) << 32 | right
-        at = np.searchsorted(self.pair[:-1], key)
-        return np.where((self.pair[at] == key) & (left >= 0) & (right >= 0), self.whole[at], -1)
+        out = np.full(len(left), -1, np.int32)
+        todo = np.flatnonzero((left >= 0) & (right >= 0))
+        key = left[todo].astype(np.int64) << 32 | right[todo]
+        slot = self._slot(key)
+        while len(todo):
+            there = self.pair[slot]
+            hit = there == key
+            out[todo[hit]] = self.whole[slot[hit]]
+            more = ~hit & (there >= 0)
+            todo, key, slot = todo[more], key[more], (slot[more] + 1) & self.mask
+        return out
 
     def agenda(self, unit: str, variant: int) -> bytes:
         """Ids of one unit, with the agenda as a heap; for units of any length."""
@@ -108,15 +132,18 @@ class Codec:
 
     def units(self, units: list[str], variant: int) -> list[bytes]:
         """Little-endian 32-bit ids of each unit; short units are worked in groups of like length, long ones one by one."""
-        out = [self.agenda(u, variant) if len(u) > LONG else b"" for u in units]
-        order = sorted((i for i, u in enumerate(units) if len(u) <= LONG), key=lambda i: len(units[i]))
-        at = 0
+        sizes = np.fromiter(map(len, units), np.int64, len(units))
+        out = [b""] * len(units)
+        for i in np.flatnonzero(sizes > LONG).tolist():
+            out[i] = self.agenda(units[i], variant)
+        order = np.argsort(sizes, kind="stable")
+        order = order[: int((sizes <= LONG).sum())]
+        ascending, at = sizes[order], 0
         while at < len(order):
-            size = len(units[order[at]])
-            to = at + 1
-            while to < len(order) and to - at < 20_000 and len(units[order[to]]) <= size + 1 and (to - at + 1) * (size + 1) < 400_000:
-                to += 1
-            for i, got in zip(order[at:to], self._group([units[i] for i in order[at:to]], variant), strict=True):
+            size = int(ascending[at])
+            to = min(int(np.searchsorted(ascending, size + 1, side="right")), at + min(20_000, 400_000 // (size + 1)))
+            places = order[at:to].tolist()
+            for i, got in zip(places, self._group([units[i] for i in places], variant), strict=True):
                 out[i] = got
             at = to
         return out
@@ -124,43 +151,47 @@ class Codec:
     def _group(self, units: list[str], variant: int) -> list[bytes]:
         n, width = len(units), max(map(len, units))
         # Symbols: a piece's id; below -1 a character outside the vocabulary, its code point negated less 2; -1 nothing.
-        sym = np.full((n, width), -1, np.int64)
-        code = np.frombuffer("".join(units).encode("utf-32-le", "surrogatepass"), "<u4").astype(np.int64)
-        sym[np.arange(width)[None, :] < np.fromiter(map(len, units), np.int64, n)[:, None]] = np.where(self.letter[code] >= 0, self.letter[code], -2 - code)
+        sym = np.full((n, width + 2), -1, np.int32)
+        code = np.frombuffer("".join(units).encode("utf-32-le", "surrogatepass"), "<u4").astype(np.int32)
+        sym[:, :width][np.arange(width)[None, :] < np.fromiter(map(len, units), np.int64, n)[:, None]] = np.where(self.letter[code] >= 0, self.letter[code], -2 - code)
         digest, seed = xxhash.xxh3_64_intdigest, self.seed
         keys = np.array([digest(u.encode("utf-8", "surrogatepass"), seed) for u in units], np.uint64) ^ _mix(np.array([variant + 1], np.uint64))
-        start = np.tile(np.arange(width + 1, dtype=np.int64), (n, 1))
-        rows = np.arange(n)
+        # A symbol stands at its first character; the one after it at after, which is also where it ends.
+        after = np.tile(np.arange(1, width + 3, dtype=np.int32), (n, 1))
+        before = np.tile(np.arange(-1, width + 1, dtype=np.int32), (n, 1))
         none = np.int32(2**31 - 1)
 
         def candidates(r: np.ndarray, c: np.ndarray) -> np.ndarray:
-            """Rank of the join of the symbols at c and c + 1 of rows r; none where there is none or the hash skips it."""
-            whole = self._joined(sym[r, c], sym[r, c + 1])
-            place = (start[r, c] << 42 | start[r, c + 1] << 21 | start[r, c + 2]).astype(np.uint64)
-            skipped = _mix(keys[r] ^ _mix(place)) < self.limit
-            return np.where((whole >= 0) & ~skipped, self.rank[whole], none)
+            """Rank of the join of the symbol at c of rows r with the next; none where there is none or the hash skips it."""
+            j = after[r, c]
+            whole = self._joined(sym[r, c], sym[r, np.minimum(j, width)])
+            out = np.full(len(r), none, np.int32)
+            at = np.flatnonzero(whole >= 0)
+            mid = j[at].astype(np.int64)
+            place = (c[at].astype(np.int64) << 42 | mid << 21 | after[r[at], mid]).astype(np.uint64)
+            taken = _mix(keys[r[at]] ^ _mix(place)) >= self.limit
+            out[at[taken]] = self.rank[whole[at[taken]]]
+            return out
 
-        live = rows
         if width > 1:
             r, c = np.divmod(np.arange(n * (width - 1)), width - 1)
-            agenda = candidates(r, c).reshape(n, width - 1)
-            while len(live) and agenda.shape[1]:
-                best = agenda[live].argmin(1) if len(live) < n else agenda.argmin(1)
-                more = agenda[live, best] < none
+            agenda = np.full((n, width + 2), none, np.int32)
+            agenda[:, : width - 1] = candidates(r, c).reshape(n, width - 1)
+            live = np.arange(n)
+            while len(live):
+                own = agenda if len(live) == n else agenda[live]
+                best = own.argmin(1)
+                more = own[np.arange(len(live)), best] < none
                 live, best = live[more], best[more]
-                if not len(live):
-                    break
-                sym[live, best] = self._joined(sym[live, best], sym[live, best + 1])
-                take = np.arange(width)[None, :] + (np.arange(width)[None, :] > best[:, None])
-                inside = np.minimum(take, width - 1)
-                sym[live] = np.where(take < width, np.take_along_axis(sym[live], inside, 1), -1)
-                # The start of the merged symbol stays; those of later symbols move up with them.
-                start[live, :width] = np.take_along_axis(start[live], take, 1)
-                agenda[live] = np.where(take[:, :-1] < width - 1, np.take_along_axis(agenda[live], np.minimum(take[:, :-1], width - 2), 1), none)
-                for shift in (-1, 0):
-                    c = best + shift
-                    ok = (c >= 0) & (c < width - 1)
-                    agenda[live[ok], c[ok]] = candidates(live[ok], c[ok])
+                j = after[live, best]
+                k = after[live, j]
+                sym[live, best] = self._joined(sym[live, best], sym[live, j])
+                sym[live, j], agenda[live, j] = -1, none
+                after[live, best], before[live, np.minimum(k, width + 1)] = k, best
+                agenda[live, best] = candidates(live, best)
+                p = before[live, best]
+                ok = p >= 0
+                agenda[live[ok], p[ok]] = candidates(live[ok], p[ok])
         filled = sym != -1
         lengths = filled.sum(1)
         flat = sym[filled]
