@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from itertools import combinations
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -9,11 +11,18 @@ from tintwell.operators.graph import components
 from tintwell.operators.ranking import numbered
 
 
-def exact_groups(df: DataFrame, key: str, member: str) -> DataFrame:
-    """Members of keys with at least two of them: group number in key order, anchor and position (A-13)."""
-    sized = df.join(df.groupBy(key).agg(F.count(F.lit(1)).alias("group_size"), F.min(member).alias("anchor")).where("group_size > 1"), key)
-    numbers = numbered(df.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select(key), [key], "group_number")
-    return sized.join(numbers, key).select("group_number", key, member, "group_size", "anchor", (F.col(member) == F.col("anchor")).alias("is_anchor"))
+def exact_groups(df: DataFrame, key: str, member: str, runs: int = 64) -> DataFrame:
+    """Members of keys with at least two of them: group number in key order, anchor and position (A-13).
+
+    A key may hold a large part of all rows. Its rows are dealt over `runs` by a hash of the member, summed up run by run,
+    and meet their group's values on (key, run), so no task sees all of them.
+    """
+    dealt = df.withColumn("_run", F.pmod(F.xxhash64(F.lit("run"), F.col(member)), F.lit(runs)).cast("int"))
+    low = dealt.groupBy(key, "_run").agg(F.count(F.lit(1)).alias("_n"), F.min(member).alias("_least"))
+    top = low.groupBy(key).agg(F.sum("_n").alias("group_size"), F.min("_least").alias("anchor")).where("group_size > 1")
+    named = numbered(top, [key], "group_number")
+    spread = low.select(key, "_run").join(named, key)
+    return dealt.join(spread, [key, "_run"]).select("group_number", key, member, "group_size", "anchor", (F.col(member) == F.col("anchor")).alias("is_anchor"))
 
 
 def star_pairs(groups: DataFrame, member: str) -> DataFrame:
@@ -26,28 +35,45 @@ def hash_long(hex16: Column) -> Column:
     return F.conv(hex16, 16, -10).cast("bigint")
 
 
-def hamming_pairs(df: DataFrame, key: str, value: str, within: int, bands: int | None = None) -> DataFrame:
-    """Pairs left_id < right_id whose 64-bit values differ in at most `within` bits (J-17).
+def hamming_links(values: DataFrame, value: str, within: int, agree: int = 2) -> DataFrame:
+    """(a, b, distance) for distinct 64-bit values a < b that differ in 1 to `within` bits (J-17).
 
-    Values are first made distinct. within + 1 bands of bits guarantee a common band for every such pair, so the join is
-    on bands, not on all pairs; a pair is kept at its first common band alone. Equal values are paired through the
-    distinct value, so a value that many rows share costs its pairs once, at the end.
+    The bits are cut into within + agree bands, so such a pair has at least `agree` whole bands in common: the join is on
+    each choice of `agree` bands together, which keeps its buckets small, and bit_count decides.
     """
-    bands = bands or within + 1
+    bands = within + agree
     edges = [64 * k // bands for k in range(bands + 1)]
-    part = lambda v, k: F.shiftrightunsigned(v, edges[k]).bitwiseAND(F.lit((1 << (edges[k + 1] - edges[k])) - 1))
-    values = df.select(F.col(value).alias("_v")).where("_v is not null").distinct()
-    dealt = values.select("_v", F.inline(F.array(*(F.struct(F.lit(k).alias("_k"), part(F.col("_v"), k).alias("_part")) for k in range(bands)))))
-    a, b = dealt.withColumnRenamed("_v", "_a"), dealt.withColumnRenamed("_v", "_b")
-    near = a.join(b, ["_k", "_part"]).where(F.col("_a") < F.col("_b")).withColumn("distance", F.bit_count(F.col("_a").bitwiseXOR(F.col("_b"))))
-    near = near.where(F.col("distance") <= within).select("_a", "_b", "distance").distinct()
-    near = near.unionByName(values.select(F.col("_v").alias("_a"), F.col("_v").alias("_b"), F.lit(0).alias("distance")))
-    ids = df.select(F.col(key).alias("_id"), F.col(value).alias("_v"))
-    left, right = ids.toDF("_l", "_a"), ids.toDF("_r", "_b")
-    pairs = near.join(left, "_a").join(right, "_b").where((F.col("_a") != F.col("_b")) | (F.col("_l") < F.col("_r")))
+    part = lambda k: F.shiftrightunsigned("_v", edges[k]).bitwiseAND(F.lit((1 << (edges[k + 1] - edges[k])) - 1))
+    distinct = values.select(F.col(value).alias("_v")).where("_v IS NOT NULL").distinct()
+    keys = F.array(*(F.struct(F.lit(n).alias("_k"), F.xxhash64(*(part(k) for k in chosen)).alias("_part")) for n, chosen in enumerate(combinations(range(bands), agree))))
+    dealt = distinct.select("_v", F.inline(keys))
+    near = dealt.withColumnRenamed("_v", "a").join(dealt.withColumnRenamed("_v", "b"), ["_k", "_part"]).where("a < b")
+    near = near.withColumn("distance", F.bit_count(F.col("a").bitwiseXOR(F.col("b"))))
+    return near.where(F.col("distance") <= within).select("a", "b", "distance").distinct()
+
+
+def hamming_pairs(df: DataFrame, key: str, value: str, within: int) -> DataFrame:
+    """Every pair of rows left_id < right_id whose values differ in at most `within` bits.
+
+    Rows of one value are all paired with each other, so this is for values that few rows share; hamming_edges keeps
+    such groups as stars.
+    """
+    ids = df.select(F.col(key).alias("_id"), F.col(value).alias("_v")).where("_v IS NOT NULL")
+    near = hamming_links(df, value, within)
+    near = near.unionByName(ids.select(F.col("_v").alias("a"), F.col("_v").alias("b"), F.lit(0).alias("distance")).distinct())
+    pairs = near.join(ids.toDF("_l", "a"), "a").join(ids.toDF("_r", "b"), "b").where("a <> b OR _l < _r")
     return pairs.select(F.least("_l", "_r").alias("left_id"), F.greatest("_l", "_r").alias("right_id"), "distance")
 
 
+def hamming_edges(df: DataFrame, key: str, value: str, within: int) -> DataFrame:
+    """Edges (left_id, right_id) that join the same rows as hamming_pairs: each row to the first of its value, and those of close values."""
+    ids = df.select(F.col(key).alias("right_id"), F.col(value).alias("_v")).where("_v IS NOT NULL")
+    first = ids.groupBy("_v").agg(F.min("right_id").alias("left_id"))
+    stars = ids.join(first, "_v").where("left_id <> right_id").select("left_id", "right_id")
+    near = hamming_links(df, value, within).join(first.toDF("a", "_l"), "a").join(first.toDF("b", "_r"), "b")
+    return stars.unionByName(near.select(F.least("_l", "_r").alias("left_id"), F.greatest("_l", "_r").alias("right_id")))
+
+
 def duplicate_class(distance: Column) -> Column:
     return F.when(distance <= 4, "high").when(distance <= 8, "possible").otherwise("outside")
 

@@ -176,7 +176,7 @@ WITH RECURSIVE n AS MATERIALIZED ({_NEAR}), e AS MATERIALIZED (SELECT left_id AS
 SELECT doc_id, min(root) AS component_id FROM r GROUP BY 1""")
 def dup_components(spark: SparkSession, d: str) -> DataFrame:
     """A-15: components over the closest pairs, in chains."""
-    near = duplicates.hamming_pairs(_near_hashes(spark, d), "doc_id", "bits", 8).where("distance <= 3")
+    near = duplicates.hamming_edges(_near_hashes(spark, d), "doc_id", "bits", 3)
     return duplicates.content_groups(table(spark, d, "documents"), "doc_id", near)
 
 
