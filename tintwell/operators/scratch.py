@@ -4,15 +4,19 @@ from __future__ import annotations
 
 import atexit
 import contextlib
+import os
+import sysconfig
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
 _own_root: str | None = None
-_written: list[tuple[SparkSession, str]] = []
+_shipped: set[str] = set()
 
 
 def root(spark: SparkSession) -> str:
@@ -65,8 +69,26 @@ def bounded_batches(df: DataFrame, size: str = "4m") -> DataFrame:
 
     Whole texts go to Python in these batches, and buffers for them are held on both sides of the pipe.
     """
+    ship(df.sparkSession)
     conf = df.sparkSession.conf
     if conf.get(BATCH, "67108864b") in ("67108864b", "67108864"):
         with contextlib.suppress(Exception):
             conf.set(BATCH, size)
     return df
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors, once an application, where Python would not find it there by itself."""
+    app = spark.sparkContext.applicationId
+    if app in _shipped:
+        return
+    _shipped.add(app)
+    home = Path(__file__).resolve().parents[2]
+    found = [os.getcwd(), *os.environ.get("PYTHONPATH", "").split(os.pathsep), *sysconfig.get_paths().values()]
+    if home in {Path(p).resolve() for p in found if p} or (Path.cwd() / "tintwell").resolve() == home / "tintwell":
+        return
+    path = Path(tempfile.mkdtemp(prefix="tintwell-")) / "tintwell.zip"
+    with zipfile.ZipFile(path, "w") as z:
+        for f in sorted((home / "tintwell").rglob("*.py")):
+            z.write(f, f.relative_to(home))
+    spark.sparkContext.addPyFile(str(path))
