@@ -167,19 +167,17 @@ def index(rows: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding"
     task's share stays the same at every size. An empty table gives an empty index.
     """
     fine = usable(rows, id_col, vector_col)
-    shards = max(1, -(-fine.count() // shard_rows))
+    shards = max(1, -(-fine.select("id").distinct().count() // shard_rows))
 
     def run(key: tuple, table: pa.Table) -> pa.Table:
         ids = table.column("id").to_numpy()
         vectors = np.array(table.column("v").combine_chunks().flatten().to_numpy(zero_copy_only=False), np.float64).reshape(len(ids), -1)
-        order = np.lexsort((*vectors.T[::-1], ids))
-        ids, vectors = ids[order], vectors[order]
-        keep = np.r_[True, ids[1:] != ids[:-1]]
-        return pa.Table.from_pylist([build(key[0].as_py(), ids[keep], vectors[keep])], schema=schema)
+        return pa.Table.from_pylist([build(key[0].as_py(), ids, vectors)], schema=schema)
 
     layer = pa.list_(pa.struct([("nodes", pa.binary()), ("offsets", pa.binary()), ("neighbours", pa.binary())]))
     schema = pa.schema([("shard", pa.int32()), ("ids", pa.binary()), ("starts", pa.binary()), ("vectors", pa.binary()), ("dim", pa.int32()), ("layers", layer)])
-    dealt = fine.withColumn("shard", F.pmod(F.xxhash64(F.lit("shard"), "id"), F.lit(shards)).cast("int"))
+    single = fine.groupBy("id").agg(F.min("v").alias("v"))  # before dealing, so that rows of one id cannot crowd a shard
+    dealt = single.withColumn("shard", F.pmod(F.xxhash64(F.lit("shard"), "id"), F.lit(shards)).cast("int"))
     return staged(dealt.groupBy("shard").applyInArrow(run, INDEX), "graphs")
 
 

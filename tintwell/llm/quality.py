@@ -31,7 +31,7 @@ class _Memo(dict):
         if len(self) >= MEMO:
             self.clear()
         shape, before = [], ""
-        for c in word[:64]:
+        for c in word:
             kind = "a" if c.islower() else "A" if c.isupper() else "9" if c.isdigit() else "x" if c.isalpha() else c
             if kind != before:
                 shape.append(kind)
