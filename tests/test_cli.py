@@ -27,7 +27,7 @@ def test_similarity_commands(spark, tmp_path, capsys):
 
     from tintwell.operators.images import lab_of
 
-    rows = [(f"i{k}", "r", "swatch", None, ["t"], False, "success", sem, "#%02X%02X%02X" % c, list(c), lab_of(np.array([c], np.uint8))[0].tolist(), "high", 0.9, 0.8, 2.0) for k, c in enumerate(rgb)]
+    rows = [(f"i{k}", "r", "swatch", None, ["t"], False, "succeeded", sem, "#%02X%02X%02X" % c, list(c), lab_of(np.array([c], np.uint8))[0].tolist(), "high", 0.9, 0.8, 2.0) for k, c in enumerate(rgb)]
     kind = "image_id string, region_id string, region_type string, shade_code_text string, linked_ids array<string>, links_broken boolean, extraction_status string, semantics string, color_hex string, rgb array<int>, lab array<double>, color_confidence string, association_confidence double, share double, dispersion double"
     spark.createDataFrame(rows, kind).write.parquet(str(tmp_path / "regions"))
     spark.createDataFrame([("i0", "t", "shade_code", "12"), ("i1", "t", "shade_code", "13")], "image_id string, text_id string, text_type string, normalized_text string").write.parquet(str(tmp_path / "texts"))

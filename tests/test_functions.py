@@ -30,7 +30,7 @@ def test_published_pairs(spark):
 def test_hex_and_bands(spark):
     r = spark.range(1).select(color.normalized_hex(F.lit(" #c81e46 ")).alias("h"), color.normalized_hex(F.lit("12345")).alias("bad"), *(color.distance_band(F.lit(v)).alias(f"b{i}") for i, v in enumerate((2.0, 2.1, 10.0, 20.0, 20.1)))).first()
     assert r.h == "#C81E46" and r.bad is None
-    assert [r[f"b{i}"] for i in range(5)] == ["very_close", "close", "moderate", "distant", "very_distant"]
+    assert [r[f"b{i}"] for i in range(5)] == ["de00_le_2", "de00_gt_2_le_5", "de00_gt_5_le_10", "de00_gt_10_le_20", "de00_gt_20"]
 
 
 def test_stable_id_is_uuid5(spark):
@@ -77,6 +77,8 @@ def test_components_and_urls(spark):
     assert [r.v for r in df.select(text.image_urls("raw").alias("v")).collect()] == [["u1", "u2"], ["a"], ["x", "y"], [], ["one"], None]
     assert _one(spark, text.url_extension(F.lit("https://h/x/Y.PNG?q=1.gif"))) == "png"
     assert _one(spark, text.url_extension(F.lit("https://h/x/y"))) == "jpg"
+    assert _one(spark, text.url_extension(F.lit("https://h/x/.png"))) == "jpg"
+    assert _one(spark, text.url_extension(F.lit("https://h/x.d/y.WebP2"))) == "webp2"
 
 
 def test_secrets(spark):
@@ -107,9 +109,9 @@ def test_tiles(spark, length, starts):
 
 
 def test_repair(spark):
-    assert _one(spark, geometry.repaired_box(_box(10, 20, 900, 950), F.lit(100), F.lit(80))).action == "per_mille"
+    assert _one(spark, geometry.repaired_box(_box(10, 20, 900, 950), F.lit(100), F.lit(80))).action == "millesimal"
     assert _one(spark, geometry.repaired_box(_box(10, 20, 1900, 1950), F.lit(2000), F.lit(2000))).action == "pixels"
-    assert _one(spark, geometry.repaired_box(_box(10, 20, 90, 70), F.lit(100), F.lit(80))).action == "ambiguous"
+    assert _one(spark, geometry.repaired_box(_box(10, 20, 90, 70), F.lit(100), F.lit(80))).action == "pixels"
     assert _one(spark, geometry.repaired_box(_box(0.1, 0.2, 0.3, 0.4), F.lit(100), F.lit(80))).action == "none"
 
 

@@ -1,4 +1,5 @@
 import itertools
+import json
 import random
 
 import numpy as np
@@ -100,7 +101,7 @@ def test_quota_with_carried_rows(spark):
 
 def test_split_caps_equal_loop(spark):
     df = sampling.with_split(spark.createDataFrame([(k, "ab"[k % 2]) for k in range(200)], "k long, s string"), "k", 1)
-    caps, strata = {"train": 20, "dev": 6, "test": 6}, {"a": 18, "b": 18}
+    caps, strata = {"train": 20, "validation": 6, "test": 6}, {"a": 18, "b": 18}
     got = {r.k for r in sampling.with_split_caps(df, "k", strata, "s", caps, "split", 1).collect()}
     import hashlib
 
@@ -116,7 +117,7 @@ def test_split_caps_equal_loop(spark):
 
 
 def test_resolved_truth(spark):
-    rows = [("e1", "i1", "ann", "label", "x", 1, None), ("e2", "i1", "ann", "label", "y", 2, None), ("e3", "i1", None, "revoke", None, 3, "e2"), ("e4", "i2", "ann", "label", "x", 1, None), ("e5", "i2", "bob", "label", "x", 2, None), ("e6", "i3", "ann", "label", "x", 1, None), ("e7", "i3", "bob", "label", "y", 1, None), ("e8", "i3", "eve", "adjudicate", "z", 4, None), ("e9", "i4", "ann", "label", "x", 1, None)]
+    rows = [("e1", "i1", "ann", "label", "x", 1, None), ("e2", "i1", "ann", "label", "y", 2, None), ("e3", "i1", None, "revoke", None, 3, "e2"), ("e4", "i2", "ann", "label", "x", 1, None), ("e5", "i2", "bob", "label", "x", 2, None), ("e6", "i3", "ann", "label", "x", 1, None), ("e7", "i3", "bob", "label", "y", 1, None), ("e8", "i3", "eve", "adjudication", "z", 4, None), ("e9", "i4", "ann", "label", "x", 1, None)]
     events = spark.createDataFrame(rows, "event_id string, item_id string, annotator_id string, kind string, value string, created_at int, revokes_event_id string")
     items = spark.createDataFrame([("i1", False), ("i2", True), ("i3", True), ("i4", True)], "item_id string, blind boolean")
     got = {r.item_id: (r.truth, r.resolution) for r in evaluation.resolved_truth(events, items).collect()}
@@ -130,25 +131,55 @@ def test_metrics_on_empty(spark):
 
 
 def test_image_status(spark):
-    rows = [("a", "u1", "image", "success", "swatch", 0.9, []), ("b", "u1", "global", "success", "lip", 0.5, ["r"]), ("b", "u2", "tile", "failed", None, None, []), ("c", "u1", "image", "skipped", None, None, []), ("d", "u1", "image", "failed", None, None, [])]
+    rows = [("a", "u1", "image", "succeeded", "swatch", 0.9, []), ("b", "u1", "global_thumbnail", "cache_hit", "lip", 0.5, ["r"]), ("b", "u2", "tile", "failed", None, None, []), ("c", "u1", "image", "skipped", None, None, []), ("d", "u1", "image", "failed", None, None, [])]
     df = spark.createDataFrame(rows, "image_id string, unit_id string, scope string, status string, role string, confidence double, risks array<string>")
     got = {r.image_id: (r.role, r.status) for r in entities.image_roles(df).collect()}
     assert got == {"a": ("swatch", "success"), "b": ("lip", "partial"), "c": (None, "skipped"), "d": (None, "failed")}
 
 
-@pytest.mark.parametrize(("change", "problem"), [({}, None), ({"extra": 1}, "unknown_keys"), ({"primary_role": "x"}, "role"), ({"role_confidence": 2}, "confidence"), ({"scope": "global"}, "global_items")])
-def test_response_rules(spark, change, problem):
-    import json
+RESPONSE = {
+    "schema_version": "quick-image-extraction-1.0", "scope": "image", "input_context_policy": "image_only", "primary_role": "single_swatch", "role_confidence": 0.9, "layout_type": "grid", "layout_summary": "", "representative_color_eligible": True,
+    "eligibility_confidence": 0.8, "summary": "s", "text_items": [{"text_item_id": "t", "text": "12", "text_type": "shade_code", "bbox_norm": [0, 0, 1, 1], "confidence": 1}],
+    "color_regions": [{"region_id": "r", "region_type": "swatch", "bbox_norm": [0.1, 0.1, 0.5, 0.5], "confidence": 0.7, "linked_text_item_ids": ["t"], "association_confidence": 0.6}],
+}
+
+
+def _region(**more):
+    return {"color_regions": [RESPONSE["color_regions"][0] | more]}
 
-    body = {"schema_version": "1", "scope": "image", "primary_role": "swatch", "role_confidence": 0.9, "summary": "s", "text_items": [{"text_item_id": "t", "raw_text": "12", "text_type": "shade_code", "bbox_norm": [0, 0, 1, 1], "confidence": 1}], "color_regions": []} | change
-    r = extraction.parsed(spark.createDataFrame([(json.dumps(body),)], "raw string"), "raw").first()
+
+@pytest.mark.parametrize(
+    ("change", "problem"),
+    [({}, None), ({"extra": 1}, "unknown_keys"), ({"primary_role": "x"}, "role"), ({"secondary_roles": ["single_swatch"]}, "role"), ({"role_confidence": 2}, "confidence"), ({"scope": "global_thumbnail"}, "global_items"), ({"schema_version": "2"}, "literal"),
+     (_region(linked_text_item_ids=["no"]), "broken_link"), (_region(association_confidence=None), "link_confidence"), (_region(bbox_norm=[0.5, 0.1, 0.4, 0.5]), "bbox"), (_region(region_type="x"), "item_type")],
+)
+def test_response_rules(spark, change, problem):
+    r = extraction.parsed(spark.createDataFrame([(json.dumps(RESPONSE | change),)], "raw string"), "raw").first()
     assert r.problems == ([problem] if problem else [])
 
 
+def test_missing_keys(spark):
+    short = {k: v for k, v in RESPONSE.items() if k != "summary"}
+    assert extraction.parsed(spark.createDataFrame([(json.dumps(short),)], "raw string"), "raw").first().problems == ["missing_keys"]
+
+
+def test_narrow_repairs(spark):
+    body = json.dumps(RESPONSE)
+    pixels = json.dumps(RESPONSE | _region(bbox_norm=[10, 10, 50, 40]))
+    mille = json.dumps(RESPONSE | _region(bbox_norm=[100, 100, 500, 900]))
+    rows = [(1, body), (2, f"```json\n{body}\n```"), (3, pixels), (4, mille), (5, json.dumps(RESPONSE | {"primary_role": "x"})), (6, "no answer")]
+    df = spark.createDataFrame([(k, t, 100, 80) for k, t in rows], "k int, raw string, width int, height int")
+    got = {r.k: r for r in extraction.strict_or_repaired(df, "raw", "width", "height").collect()}
+    assert [got[k].status for k in range(1, 7)] == ["succeeded", "succeeded", "repaired", "repaired", "schema_failed", "schema_failed"]
+    assert got[3].repair_actions == ["color_regions[0]:pixels_to_normalized"] and got[3].response.color_regions[0].bbox_norm == [0.1, 0.125, 0.5, 0.5]
+    assert got[4].repair_actions == ["color_regions[0]:millesimal_to_normalized"] and got[4].response.color_regions[0].bbox_norm == [0.1, 0.1, 0.5, 0.9]
+    assert got[5].problems == ["role"] and got[6].problems == ["not_json"] and got[6].response is None
+
+
 def test_attempts(spark):
     keys = lambda *k: spark.createDataFrame([(x,) for x in k], "cache_key string")
     got = {r.cache_key: r.status for r in extraction.attempts(keys("a", "b", "c"), keys("a", "b"), keys("a")).collect()}
-    assert got == {"a": "success", "b": "schema_failed", "c": "interrupted"}
+    assert got == {"a": "succeeded", "b": "schema_failed", "c": "interrupted"}
 
 
 def test_checks(spark):
@@ -192,7 +223,7 @@ def test_similarity_run_counts(spark):
 
     def region(image, key, rgb, links, kind="swatch", conf="high"):
         lab = lab_of(np.array([rgb], np.uint8))[0].tolist()
-        return (image, key, kind, None, links, False, "success", sem, "#%02X%02X%02X" % rgb, list(rgb), lab, conf, 0.9, 0.8, 2.0)
+        return (image, key, kind, None, links, False, "succeeded", sem, "#%02X%02X%02X" % rgb, list(rgb), lab, conf, 0.9, 0.8, 2.0)
 
     regions = [region("i1", "r1", (130, 52, 92), ["t1"]), region("i2", "r1", (132, 52, 92), ["t1"]), region("i2", "r2", (200, 30, 70), ["t2"]), region("i3", "r1", (90, 60, 60), ["t1"]), region("i3", "r2", (90, 60, 60), ["t1"], "lip")]
     kind = "image_id string, region_id string, region_type string, shade_code_text string, linked_ids array<string>, links_broken boolean, extraction_status string, semantics string, color_hex string, rgb array<int>, lab array<double>, color_confidence string, association_confidence double, share double, dispersion double"

@@ -42,11 +42,11 @@ def test_lineage_counts(spark, workspace):
     t = manifest_build.build(spark, str(workspace / "catalog.csv"), str(workspace / "images"), "snap")
     assert {k: t[k].count() for k in ("source_records", "source_image_refs", "image_occurrences", "image_contents", "source_ref_occurrences", "brand_alias_candidates")} == {"source_records": 4, "source_image_refs": 5, "image_occurrences": 5, "image_contents": 4, "source_ref_occurrences": 5, "brand_alias_candidates": 1}
     assert sorted(r.row_number for r in t["source_records"].collect()) == [2, 3, 4, 5]
-    assert {r.folder: r.status for r in t["folder_groups"].collect()}["Brand A/g1"] == "multi"
+    assert {r.folder: r.status for r in t["folder_groups"].collect()}["Brand A/g1"] == "multi_source_record"
     assert {r.rule: r.violations for r in manifest_build.validate(t).collect()} == dict.fromkeys(("source_record_id", "source_ref_id", "occurrence_id", "ref_has_record", "link_has_occurrence", "occurrence_has_content", "confidence_range"), 0)
     again = manifest_build.build(spark, str(workspace / "catalog.csv"), str(workspace / "images"), "snap")
     assert {r[0] for r in t["source_image_refs"].select("source_ref_id").collect()} == {r[0] for r in again["source_image_refs"].select("source_ref_id").collect()}
-    assert {r.format for r in t["image_occurrences"].collect()} == {"jpeg", "png"}
+    assert {r.format for r in t["image_occurrences"].collect()} == {"JPEG", "PNG"}
 
 
 def test_missing_columns(spark, tmp_path):

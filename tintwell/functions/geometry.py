@@ -52,19 +52,18 @@ def to_image(b: Column, scale_x: Column, scale_y: Column, shift_x: Column, shift
 
 
 def repaired_box(b: Column, width: Column, height: Column) -> Column:
-    """struct(box, action): a box in any of three conventions as fractions, where only one of them fits it.
+    """struct(box, action): a box in any of three conventions as fractions, where one of them fits it.
 
-    Values up to 1 are fractions. Values that only fit the image's pixels, or only a scale of 0 to 1000, are divided by
-    it; a box that fits both is left alone as ambiguous, and null when it has no positive area.
+    Values up to 1 are fractions; values within the image are its pixels; values up to 1000 that leave the image are
+    thousandths. A box without positive area, or of no convention, is left as it is.
     """
     top = F.greatest(b["x0"], b["y0"], b["x1"], b["y1"])
-    low = F.least(b["x0"], b["y0"], b["x1"], b["y1"])
-    pixels = (low >= 0) & (b["x1"] <= width) & (b["y1"] <= height)
-    mille = (low >= 0) & (top <= 1000)
+    proper = (b["x0"] >= 0) & (b["y0"] >= 0) & (b["x0"] < b["x1"]) & (b["y0"] < b["y1"])
+    pixels = (b["x1"] <= width) & (b["y1"] <= height)
     by = lambda x, y: box(b["x0"] / x, b["y0"] / y, b["x1"] / x, b["y1"] / y)
     thousand = F.lit(1000.0)
-    action = F.when((b["x0"] >= b["x1"]) | (b["y0"] >= b["y1"]) | (low < 0), "reject").when(top <= 1, "none").when(pixels & ~mille, "pixels").when(mille & ~pixels, "per_mille").when(pixels & mille, "ambiguous").otherwise("reject")
-    value = F.when(action == "none", b).when(action == "pixels", by(width.cast("double"), height.cast("double"))).when(action == "per_mille", by(thousand, thousand))
+    action = F.when(~F.coalesce(proper, F.lit(False)), "unchanged").when(top <= 1, "none").when(pixels, "pixels").when(top <= 1000, "millesimal").otherwise("unchanged")
+    value = F.when(action == "pixels", by(width.cast("double"), height.cast("double"))).when(action == "millesimal", by(thousand, thousand)).otherwise(b)
     return F.struct(value.alias("box"), action.alias("action"))
 
 

@@ -7,6 +7,9 @@ import uuid
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# Fixed value: the namespace of all stable ids.
+NAMESPACE = uuid.UUID("01b2a690-e5b7-4a3c-a5b1-3d57437da9ec")
+
 
 def uuid5_hex(namespace: uuid.UUID, name: Column) -> Column:
     """The 32 hex digits of the version 5 UUID of a name."""
@@ -35,7 +38,7 @@ def hash_percent(seed: int | str, key: Column) -> Column:
 
 
 def split_name(percent: Column, train: int = 60, dev: int = 20) -> Column:
-    return F.when(percent < train, "train").when(percent < train + dev, "dev").otherwise("test")
+    return F.when(percent < train, "train").when(percent < train + dev, "validation").otherwise("test")
 
 
 def canonical_json(**fields: Column) -> Column:

@@ -130,10 +130,10 @@ def json_urls(raw: Column) -> Column:
 
 
 def url_extension(url: Column) -> Column:
-    """The known image suffix of a URL's path, else jpg."""
+    """The suffix, of at most eight letters and digits, of the last part of a URL's path, else jpg."""
     path = F.lower(F.coalesce(F.try_parse_url(url, F.lit("PATH")), F.lit("")))
-    found = F.regexp_extract(path, r"\.([a-z0-9]+)$", 1)
-    return F.when(found.isin(*IMAGE_SUFFIXES), found).otherwise("jpg")
+    found = F.regexp_extract(path, r"[^/.][^/]*\.([a-z0-9]{1,8})$", 1)
+    return F.when(found != "", found).otherwise("jpg")
 
 
 def output_filename(field: Column, index: Column, url: Column) -> Column:

@@ -75,7 +75,7 @@ def hamming_edges(df: DataFrame, key: str, value: str, within: int) -> DataFrame
 
 
 def duplicate_class(distance: Column) -> Column:
-    return F.when(distance <= 4, "high").when(distance <= 8, "possible").otherwise("outside")
+    return F.when(distance <= 4, "high").when(distance <= 8, "possible").otherwise("outside_current_threshold")
 
 
 def content_groups(nodes: DataFrame, key: str, *edges: DataFrame) -> DataFrame:

@@ -29,7 +29,7 @@ def context_relation(role_valid: Column, context: Column, depicted: Column, mult
     overlap = F.array_intersect(keys(depicted), keys(context))
     no_context, no_depicted = F.size(context) == 0, F.size(depicted) == 0
     meets = F.size(overlap) > 0
-    relation = F.when(~role_valid, "unrelated_or_invalid").when(no_context, "insufficient_context").when(no_depicted, "same_product_context").when(meets & (multi | (F.size(depicted) > 1)), "contains_context_shade").when(meets, "exact_shade_context").otherwise("shade_conflict")
+    relation = F.when(~role_valid, "unrelated").when(no_context, "insufficient_evidence").when(no_depicted, "same_product_unspecified_shade").when(meets & (multi | (F.size(depicted) > 1)), "contains_context_shade").when(meets, "exact_shade_match").otherwise("shade_conflict")
     confidence = F.when(~role_valid, 0.75).when(no_context, 0.35).when(no_depicted, 0.55).when(meets & (multi | (F.size(depicted) > 1)), 0.85).when(meets, 0.9).otherwise(0.65)
     return F.struct(relation.alias("relation"), confidence.alias("confidence"), (role_valid & (no_context | (~no_context & ~no_depicted & ~meets))).alias("conflict"), overlap.alias("overlap"))
 
@@ -42,15 +42,15 @@ def linked_codes(regions: DataFrame, texts: DataFrame) -> DataFrame:
     return regions.join(packed, ["image_id", "region_id"], "left").withColumn("linked_texts", F.coalesce("linked_texts", F.array().cast("array<string>")))
 
 
-def exclusion_reasons(links_broken: Column, tokens: Column, direct_code: Column, color_problem: Column, extraction_status: Column, semantics: Column, region_type: Column, color_confidence: Column, association_confidence: Column, expected_semantics: str = "image_observed_color_candidate", formal_types: tuple[str, ...] = ("swatch", "lipstick_bullet", "product_texture"), accepted: tuple[str, ...] = ("high", "medium")) -> Column:
+def exclusion_reasons(links_broken: Column, tokens: Column, direct_tokens: Column, color_problem: Column, extraction_status: Column, semantics: Column, region_type: Column, color_confidence: Column, association_confidence: Column, expected_semantics: str = "image_observed_color_candidate", formal_types: tuple[str, ...] = ("swatch",), accepted: tuple[str, ...] = ("high", "medium")) -> Column:
     """Every reason, in order, why an observation is not formal; it is formal if there is none (P-11)."""
     code = F.when(F.size(tokens) == 1, F.get(tokens, F.lit(0)))
     reasons = F.array(
         F.when(links_broken, "invalid_linked_text_item_ids"),
         F.when(tokens.isNull(), "no_linked_shade_code").when(F.size(tokens) == 0, "shade_code_unparseable").when(F.size(tokens) > 1, "shade_code_ambiguous"),
-        F.when(code.isNotNull() & direct_code.isNotNull() & (code != direct_code), "direct_linked_shade_code_conflict"),
+        F.when(code.isNotNull() & (F.size(direct_tokens) > 0) & (direct_tokens != F.array(code)), "direct_linked_shade_code_conflict"),
         color_problem,
-        F.when(extraction_status != "success", F.concat(F.lit("extraction_status_"), extraction_status)),
+        F.when(extraction_status != "succeeded", F.concat(F.lit("extraction_status_"), extraction_status)),
         F.when(~semantics.eqNullSafe(F.lit(expected_semantics)), "unexpected_source_semantics"),
         F.when(~F.coalesce(region_type.isin(*formal_types), F.lit(False)), "region_type_not_formal"),
         F.when(~F.coalesce(color_confidence.isin(*accepted), F.lit(False)), "color_confidence_not_accepted"),
@@ -62,13 +62,14 @@ def exclusion_reasons(links_broken: Column, tokens: Column, direct_code: Column,
 def image_roles(analyses: DataFrame) -> DataFrame:
     """(image_id, role, confidence, status, risks): the preferred scope's most confident role and the units' outcome (A-18, J-10).
 
-    analyses: image_id, unit_id, scope, status, role, confidence, risks. Scopes rank merged, image, global, tile.
+    analyses: image_id, unit_id, scope, status, role, confidence, risks. Scopes rank merged_content_summary, image, global_thumbnail, tile;
+    a tile's role is a fallback. succeeded and cache_hit units count as good, skipped ones apart, all others as failed.
     """
-    scope = F.when(F.col("scope") == "merged", 3).when(F.col("scope") == "image", 2).when(F.col("scope") == "global", 1).otherwise(0)
-    good = F.col("status") == "success"
+    scope = F.when(F.col("scope") == "merged_content_summary", 3).when(F.col("scope") == "image", 2).when(F.col("scope") == "global_thumbnail", 1).otherwise(0)
+    good = F.col("status").isin("succeeded", "cache_hit")
     best = F.max_by(F.when(good, F.struct("role", "confidence", "scope")), F.when(good, F.struct(scope, "confidence", "unit_id")))
-    sums = analyses.groupBy("image_id").agg(best.alias("best"), F.count(F.lit(1)).alias("units"), F.count_if(F.col("status") == "failed").alias("failed"), F.count_if(F.col("status") == "skipped").alias("skipped"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("risks")))).alias("risks"))
-    status = F.when(F.col("best").isNull() & (F.col("skipped") == F.col("units")), "skipped").when(F.col("best").isNull(), "failed").when((F.col("failed") > 0) | (F.col("best.scope") == "tile"), "partial").otherwise("success")
+    sums = analyses.groupBy("image_id").agg(best.alias("best"), F.count_if(~good & (F.col("status") != "skipped")).alias("failed"), F.count_if(F.col("status") == "skipped").alias("skipped"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("risks")))).alias("risks"))
+    status = F.when(F.col("best").isNull() & (F.col("skipped") > 0) & (F.col("failed") == 0), "skipped").when(F.col("best").isNull(), "failed").when((F.col("failed") > 0) | (F.col("best.scope") == "tile"), "partial").otherwise("success")
     return sums.select("image_id", "best.role", "best.confidence", status.alias("status"), "risks")
 
 

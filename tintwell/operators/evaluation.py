@@ -45,13 +45,13 @@ def agreement(df: DataFrame, first: str, second: str) -> DataFrame:
 def resolved_truth(events: DataFrame, items: DataFrame) -> DataFrame:
     """(item_id, truth, resolution) of each item (PIPE-9).
 
-    events: event_id, item_id, annotator_id, kind (label, adjudicate or revoke), value, created_at, revokes_event_id.
+    events: event_id, item_id, annotator_id, kind (label, adjudication or revoke), value, created_at, revokes_event_id.
     items: item_id, blind. An adjudication that is not revoked wins, the latest of several. Otherwise an item that is not
     blind takes its latest label, and a blind one needs the latest labels of at least two annotators, all equal.
     """
     live = events.where("kind <> 'revoke'").join(events.where("kind = 'revoke'").select(F.col("revokes_event_id").alias("event_id")), "event_id", "left_anti")
     at = F.struct("created_at", "event_id")
-    final = live.where("kind = 'adjudicate'").groupBy("item_id").agg(F.max_by("value", at).alias("final"))
+    final = live.where("kind = 'adjudication'").groupBy("item_id").agg(F.max_by("value", at).alias("final"))
     each = live.where("kind = 'label'").groupBy("item_id", "annotator_id").agg(F.max_by("value", at).alias("value"), F.max(at).alias("at"))
     labels = each.groupBy("item_id").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("value").alias("values"), F.max_by("value", "at").alias("last"))
     both = items.join(final, "item_id", "left").join(labels, "item_id", "left")

@@ -37,8 +37,8 @@ def exact_then_folded(left: DataFrame, right: DataFrame, left_path: str, right_p
     exact = right.select(F.col(right_path).alias("_exact"), F.col(right_id).alias("_exact_id"))
     folded = right.groupBy(F.lower(right_path).alias("_folded")).agg(F.count(F.lit(1)).alias("_n"), F.min(right_id).alias("_folded_id")).where("_n = 1")
     both = left.join(exact, F.col(left_path) == F.col("_exact"), "left").join(folded, F.lower(left_path) == F.col("_folded"), "left")
-    method = F.when(F.col("_exact_id").isNotNull(), "exact").when(F.col("_folded_id").isNotNull(), "folded").otherwise("unmatched")
-    confidence = F.when(method == "exact", 1.0).when(method == "folded", 0.99)
+    method = F.when(F.col("_exact_id").isNotNull(), "downloader_exact_path").when(F.col("_folded_id").isNotNull(), "downloader_casefold_path").otherwise("unmatched")
+    confidence = F.when(F.col("_exact_id").isNotNull(), 1.0).when(F.col("_folded_id").isNotNull(), 0.99)
     return both.select(*left.columns, F.coalesce("_exact_id", "_folded_id").alias("matched_id"), method.alias("match_method"), confidence.alias("match_confidence"))
 
 
@@ -64,11 +64,11 @@ def upsert_keeping(existing: DataFrame, new: DataFrame, keys: list[str], keep: C
 
 
 def rollup_status(members: DataFrame, records: DataFrame, folder: str) -> DataFrame:
-    """Counts of both sides by folder and multi, single or orphan by the number of records (A-11)."""
+    """Counts of both sides by folder and a status by the number of records (A-11)."""
     a = members.groupBy(folder).agg(F.count(F.lit(1)).alias("file_count"))
     b = records.groupBy(folder).agg(F.count(F.lit(1)).alias("record_count"))
     both = a.join(b, folder, "full").withColumns({"file_count": F.coalesce("file_count", F.lit(0)), "record_count": F.coalesce("record_count", F.lit(0))})
-    return both.withColumn("status", F.when(F.col("record_count") > 1, "multi").when(F.col("record_count") == 1, "single").otherwise("orphan"))
+    return both.withColumn("status", F.when(F.col("record_count") > 1, "multi_source_record").when(F.col("record_count") == 1, "single_source_record").otherwise("orphan_physical_folder"))
 
 
 def alias_groups(df: DataFrame, key: str, name: str) -> DataFrame:

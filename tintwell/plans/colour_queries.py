@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,7 +9,6 @@ from tintwell.functions import color, geometry, ids, text
 from tintwell.operators import duplicates, entities, extraction, merge, sampling, similarity
 from tintwell.plans.registry import query, table
 
-NAMESPACE = uuid.UUID("6ba7b811-9dad-11d1-80b4-00c04fd430c8")
 SEED = "260"
 
 # The published test pairs of the CIEDE2000 formula (Sharma, Wu and Dalal 2005): L, a, b twice and the difference.
@@ -48,7 +45,7 @@ _HUE = "CASE WHEN atan2({b}, {a}) < 0 THEN degrees(atan2({b}, {a})) + 360.0 ELSE
 _H1, _H2 = _HUE.format(a="a1", b="b1"), _HUE.format(a="a2", b="b2")
 _KEEP = f"label, left_id, right_id, abs(l1 - l2) AS delta_l, abs(sqrt(a1 * a1 + b1 * b1) - sqrt(a2 * a2 + b2 * b2)) AS delta_c, least(abs(({_H1}) - ({_H2})), 360.0 - abs(({_H1}) - ({_H2}))) AS delta_h"
 _PAIRS = color.ciede2000_sql("l1", "a1", "b1", "l2", "a2", "b2", _JOINED, _KEEP)
-_BAND = "CASE WHEN delta_e00 <= 2 THEN 'very_close' WHEN delta_e00 <= 5 THEN 'close' WHEN delta_e00 <= 10 THEN 'moderate' WHEN delta_e00 <= 20 THEN 'distant' ELSE 'very_distant' END"
+_BAND = "CASE WHEN delta_e00 <= 2 THEN 'de00_le_2' WHEN delta_e00 <= 5 THEN 'de00_gt_2_le_5' WHEN delta_e00 <= 10 THEN 'de00_gt_5_le_10' WHEN delta_e00 <= 20 THEN 'de00_gt_10_le_20' ELSE 'de00_gt_20' END"
 
 
 def vector_pairs(spark: SparkSession, d: str) -> DataFrame:
@@ -163,7 +160,7 @@ def _near_hashes(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "documents").select("doc_id", base.bitwiseXOR(turn("doc_id % 3 * 7")).bitwiseXOR(turn("doc_id % 5 * 11 + 2")).alias("bits"))
 
 
-@query(f"SELECT *, CASE WHEN distance <= 4 THEN 'high' WHEN distance <= 8 THEN 'possible' ELSE 'outside' END AS duplicate_class FROM ({_NEAR})")
+@query(f"SELECT *, CASE WHEN distance <= 4 THEN 'high' WHEN distance <= 8 THEN 'possible' ELSE 'outside_current_threshold' END AS duplicate_class FROM ({_NEAR})")
 def hamming_pairs(spark: SparkSession, d: str) -> DataFrame:
     """J-17, M-12: hashes that differ in at most 8 bits."""
     found = duplicates.hamming_pairs(_near_hashes(spark, d), "doc_id", "bits", 8)
@@ -234,15 +231,15 @@ _B = "SELECT l_orderkey, l_linenumber, l_partkey, (l_partkey % 90)::DOUBLE AS x0
 
 
 @query(f"""
-WITH b AS ({_B}), a AS (SELECT *, CASE WHEN x0 >= x1 OR y0 >= y1 OR least(x0, y0, x1, y1) < 0 THEN 'reject' WHEN greatest(x0, y0, x1, y1) <= 1 THEN 'none' WHEN (x1 <= 200 AND y1 <= 4000) AND greatest(x0, y0, x1, y1) > 1000 THEN 'pixels'
-  WHEN greatest(x0, y0, x1, y1) <= 1000 AND NOT (x1 <= 200 AND y1 <= 4000) THEN 'per_mille' WHEN greatest(x0, y0, x1, y1) <= 1000 THEN 'ambiguous' ELSE 'reject' END AS action FROM b)
-SELECT action, count(*) AS n, round(sum(CASE action WHEN 'pixels' THEN x1 / 200 WHEN 'per_mille' THEN x1 / 1000 ELSE 0 END), 4) AS x1_sum FROM a GROUP BY 1""")
+WITH b AS ({_B}), a AS (SELECT *, CASE WHEN x0 >= x1 OR y0 >= y1 OR least(x0, y0) < 0 THEN 'unchanged' WHEN greatest(x0, y0, x1, y1) <= 1 THEN 'none' WHEN x1 <= 200 AND y1 <= 600 THEN 'pixels'
+  WHEN greatest(x0, y0, x1, y1) <= 1000 THEN 'millesimal' ELSE 'unchanged' END AS action FROM b)
+SELECT action, count(*) AS n, round(sum(CASE action WHEN 'pixels' THEN x1 / 200 WHEN 'millesimal' THEN x1 / 1000 ELSE 0 END), 4) AS x1_sum FROM a GROUP BY 1""")
 def bbox_repair(spark: SparkSession, d: str) -> DataFrame:
     """JS-3: boxes in one of three conventions, repaired where only one reading fits."""
     c = F.col
     box = geometry.box(c("l_partkey") % 90, c("l_suppkey") % 50, c("l_partkey") % 90 + c("l_quantity") * (c("l_linenumber") % 3 + 1), c("l_suppkey") % 50 + c("l_quantity") * 20)
-    rows = table(spark, d, "lineitem").select(geometry.repaired_box(box, F.lit(200), F.lit(4000)).alias("r"))
-    x1 = F.when(c("r.action").isin("pixels", "per_mille"), c("r.box.x1")).otherwise(0.0)
+    rows = table(spark, d, "lineitem").select(geometry.repaired_box(box, F.lit(200), F.lit(600)).alias("r"))
+    x1 = F.when(c("r.action").isin("pixels", "millesimal"), c("r.box.x1")).otherwise(0.0)
     return rows.groupBy(c("r.action").alias("action")).agg(F.count(F.lit(1)).alias("n"), F.round(F.sum(x1), 4).alias("x1_sum"))
 
 
@@ -279,7 +276,7 @@ def _rank_sql(label: str) -> str:
 
 def _capped_sql(strata: dict[str, int], caps: dict[str, int]) -> str:
     pct = f"CAST('0x' || substr(sha256('{SEED}' || chr(0) || doc_id), 1, 8) AS BIGINT) % 100"
-    ctes = [f"d AS (SELECT doc_id, lang, source, CASE WHEN {pct} < 60 THEN 'train' WHEN {pct} < 80 THEN 'dev' ELSE 'test' END AS split FROM documents)"]
+    ctes = [f"d AS (SELECT doc_id, lang, source, CASE WHEN {pct} < 60 THEN 'train' WHEN {pct} < 80 THEN 'validation' ELSE 'test' END AS split FROM documents)"]
     done: list[str] = []
     for name, quota in strata.items():
         used = " UNION ALL ".join(f"SELECT split FROM {t}" for t in done) or "SELECT NULL AS split WHERE false"
@@ -303,11 +300,11 @@ def _sequential_sql(quotas: dict[str, int], target: int) -> str:
     return "WITH " + ", ".join(ctes) + f", s AS ({every}) SELECT * FROM s UNION ALL SELECT * FROM ({fill})"
 
 
-@query(_capped_sql({"en": 40, "fr": 20, "de": 20}, {"train": 48, "dev": 16, "test": 16}))
+@query(_capped_sql({"en": 40, "fr": 20, "de": 20}, {"train": 48, "validation": 16, "test": 16}))
 def quota_split_sample(spark: SparkSession, d: str) -> DataFrame:
     """O-6: quotas by language with caps by split over all of them."""
     docs = sampling.with_split(table(spark, d, "documents").select("doc_id", "lang", "source"), "doc_id", SEED)
-    return sampling.with_split_caps(docs, "doc_id", {"en": 40, "fr": 20, "de": 20}, "lang", {"train": 48, "dev": 16, "test": 16}, "split", SEED)
+    return sampling.with_split_caps(docs, "doc_id", {"en": 40, "fr": 20, "de": 20}, "lang", {"train": 48, "validation": 16, "test": 16}, "split", SEED)
 
 
 @query(_sequential_sql({"long": 12, "es": 8, "de": 8, "fr": 8, "en": 16}, 64))
@@ -320,7 +317,7 @@ def sequential_quota_sample(spark: SparkSession, d: str) -> DataFrame:
 _PCT = "CAST('0x' || substr(sha256('260' || chr(0) || source), 1, 8) AS BIGINT) % 100"
 
 
-@query(f"SELECT doc_id, source, CASE WHEN {_PCT} < 60 THEN 'train' WHEN {_PCT} < 80 THEN 'dev' ELSE 'test' END AS split FROM documents")
+@query(f"SELECT doc_id, source, CASE WHEN {_PCT} < 60 THEN 'train' WHEN {_PCT} < 80 THEN 'validation' ELSE 'test' END AS split FROM documents")
 def hash_split(spark: SparkSession, d: str) -> DataFrame:
     """O-10: a split that is the same for all rows of a source."""
     return sampling.with_split(table(spark, d, "documents").select("doc_id", "source"), "source", SEED)
@@ -341,13 +338,13 @@ def even_sample(spark: SparkSession, d: str) -> DataFrame:
     return sampling.evenly(table(spark, d, "orders").select("o_orderkey"), ["o_orderkey"], 100)
 
 
-_UUID = "sha1(unhex('6ba7b8119dad11d180b400c04fd430c8') || encode(doc_id || chr(31) || source))"
+_UUID = "sha1(unhex('01b2a690e5b74a3ca5b13d57437da9ec') || encode(doc_id || chr(31) || source))"
 
 
 @query(f"SELECT doc_id, 'doc_' || substr(h, 1, 12) || '5' || substr(h, 14, 3) || substr('89ab', CAST('0x' || substr(h, 17, 1) AS INT) % 4 + 1, 1) || substr(h, 18, 15) AS stable_id FROM (SELECT doc_id, {_UUID} AS h FROM documents)")
 def stable_ids(spark: SparkSession, d: str) -> DataFrame:
     """ST-1."""
-    return table(spark, d, "documents").select("doc_id", ids.stable_id("doc", NAMESPACE, F.col("doc_id"), F.col("source")).alias("stable_id"))
+    return table(spark, d, "documents").select("doc_id", ids.stable_id("doc", ids.NAMESPACE, F.col("doc_id"), F.col("source")).alias("stable_id"))
 
 
 @query("""SELECT conv_id, sha256('{"role":"' || role || '","turn":' || turn || '}') AS cache_key, count(*) AS n FROM conversations GROUP BY 1, 2""")
@@ -380,7 +377,7 @@ def token_entity_resolve(spark: SparkSession, d: str) -> DataFrame:
 @query("""
 WITH a AS (SELECT l_orderkey AS image_id, list(DISTINCT (l_partkey % 12)::VARCHAR) AS context, list(DISTINCT (l_suppkey % 12)::VARCHAR) FILTER (l_quantity > 25) AS depicted, max(l_quantity) < 49 AS role_valid, count(*) > 4 AS multi FROM lineitem WHERE l_partkey % 9 <> 0 GROUP BY 1),
  s AS (SELECT image_id, context, coalesce(depicted, []) AS depicted, role_valid, multi, len(list_intersect(context, coalesce(depicted, []))) AS overlap FROM a)
-SELECT image_id, CASE WHEN NOT role_valid THEN 'unrelated_or_invalid' WHEN len(context) = 0 THEN 'insufficient_context' WHEN len(depicted) = 0 THEN 'same_product_context' WHEN overlap > 0 AND (multi OR len(depicted) > 1) THEN 'contains_context_shade' WHEN overlap > 0 THEN 'exact_shade_context' ELSE 'shade_conflict' END AS relation,
+SELECT image_id, CASE WHEN NOT role_valid THEN 'unrelated' WHEN len(context) = 0 THEN 'insufficient_evidence' WHEN len(depicted) = 0 THEN 'same_product_unspecified_shade' WHEN overlap > 0 AND (multi OR len(depicted) > 1) THEN 'contains_context_shade' WHEN overlap > 0 THEN 'exact_shade_match' ELSE 'shade_conflict' END AS relation,
  CASE WHEN NOT role_valid THEN 0.75 WHEN len(context) = 0 THEN 0.35 WHEN len(depicted) = 0 THEN 0.55 WHEN overlap > 0 AND (multi OR len(depicted) > 1) THEN 0.85 WHEN overlap > 0 THEN 0.9 ELSE 0.65 END::DOUBLE AS confidence,
  role_valid AND (len(context) = 0 OR (len(depicted) > 0 AND overlap = 0)) AS conflict, overlap::INT AS overlap_count FROM s""")
 def context_relation(spark: SparkSession, d: str) -> DataFrame:
@@ -398,8 +395,7 @@ def text_normalize(spark: SparkSession, d: str) -> DataFrame:
     return rows.select("conv_id", "turn", text.visible_text(F.col("text"), ascii_only=True).alias("normalized"))
 
 
-@query("""SELECT page_id, 'page_' || lpad((page_id % 1000)::VARCHAR, 3, '0') || '_' || substr(sha1(url), 1, 12) || '.' || CASE WHEN regexp_extract(lower(regexp_extract(url, '^[a-z]+://[^/?#]*([^?#]*)', 1)), '\\.([a-z0-9]+)$', 1) IN ('jpg','jpeg','png','gif','webp','bmp','tif','tiff','avif','heic','heif')
- THEN regexp_extract(lower(regexp_extract(url, '^[a-z]+://[^/?#]*([^?#]*)', 1)), '\\.([a-z0-9]+)$', 1) ELSE 'jpg' END AS file_name FROM pages""")
+@query("""SELECT page_id, 'page_' || lpad((page_id % 1000)::VARCHAR, 3, '0') || '_' || substr(sha1(url), 1, 12) || '.' || coalesce(nullif(regexp_extract(lower(regexp_extract(url, '^[a-z]+://[^/?#]*([^?#]*)', 1)), '[^/.][^/]*\\.([a-z0-9]{1,8})$', 1), ''), 'jpg') AS file_name FROM pages""")
 def url_parts(spark: SparkSession, d: str) -> DataFrame:
     """ST-12: file names of URLs."""
     return table(spark, d, "pages").select("page_id", text.output_filename(F.lit("page"), F.col("page_id") % 1000, F.col("url")).alias("file_name"))
@@ -425,13 +421,15 @@ def ordered_report(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query("""
-SELECT page_id, CASE WHEN page_id % 5 = 0 THEN 'success' WHEN page_id % 5 = 1 THEN 'repaired' WHEN page_id % 5 = 2 THEN 'repaired' ELSE 'schema_failed' END AS status,
- CASE page_id % 5 WHEN 1 THEN 'strip_code_fence' WHEN 2 THEN 'normalize_bbox' ELSE '' END AS actions, CASE page_id % 5 WHEN 3 THEN 'role' WHEN 4 THEN 'not_json' ELSE '' END AS problems FROM pages""")
+SELECT page_id, CASE page_id % 5 WHEN 2 THEN 'repaired' WHEN 3 THEN 'schema_failed' WHEN 4 THEN 'schema_failed' ELSE 'succeeded' END AS status,
+ CASE page_id % 5 WHEN 2 THEN 'text_items[0]:millesimal_to_normalized' ELSE '' END AS actions, CASE page_id % 5 WHEN 3 THEN 'role' WHEN 4 THEN 'not_json' ELSE '' END AS problems FROM pages""")
 def response_contract(spark: SparkSession, d: str) -> DataFrame:
     """JS-1 to JS-7: responses with planted faults, read strictly or after a narrow repair."""
     k = F.col("page_id")
     bbox = F.when(k % 5 == 2, F.lit("[10, 20, 900, 950]")).otherwise(F.lit("[0.1, 0.2, 0.9, 0.95]"))
-    body = F.concat(F.lit('{"schema_version":"1","scope":"image","primary_role":"'), F.when(k % 5 == 3, "poster").otherwise("swatch"), F.lit('","role_confidence":0.9,"summary":"s","text_items":[{"text_item_id":"t1","raw_text":"12","text_type":"shade_code","bbox_norm":'), bbox, F.lit(',"confidence":0.8}],"color_regions":[]}'))
+    head = f'{{"schema_version":"{extraction.SCHEMA_VERSION}","scope":"image","input_context_policy":"{extraction.CONTEXT_POLICY}","primary_role":"'
+    middle = '","role_confidence":0.9,"layout_type":"grid","layout_summary":"","representative_color_eligible":true,"eligibility_confidence":0.5,"summary":"s","text_items":[{"text_item_id":"t1","text":"12","text_type":"shade_code","bbox_norm":'
+    body = F.concat(F.lit(head), F.when(k % 5 == 3, "poster").otherwise("single_swatch"), F.lit(middle), bbox, F.lit(',"confidence":0.8}],"color_regions":[]}'))
     raw = F.when(k % 5 == 1, F.concat(F.lit("```json\n"), body, F.lit("\n```"))).when(k % 5 == 4, "no answer").otherwise(body)
     rows = table(spark, d, "pages").select("page_id", raw.alias("raw"), F.lit(100).alias("width"), F.lit(80).alias("height"))
     done = extraction.strict_or_repaired(rows, "raw", "width", "height")

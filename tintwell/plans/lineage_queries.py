@@ -60,7 +60,7 @@ def left_optional_dims(spark: SparkSession, d: str) -> DataFrame:
 WITH a AS (SELECT page_id, CASE WHEN page_id % 3 = 0 THEN upper(url) ELSE url END AS path FROM pages WHERE page_id % 7 <> 0),
      b AS (SELECT page_id AS ref_id, url AS path FROM pages WHERE page_id % 5 <> 0),
      f AS (SELECT lower(path) AS folded, min(ref_id) AS ref_id FROM b GROUP BY 1 HAVING count(*) = 1)
-SELECT a.page_id, coalesce(e.ref_id, f.ref_id) AS matched_id, CASE WHEN e.ref_id IS NOT NULL THEN 'exact' WHEN f.ref_id IS NOT NULL THEN 'folded' ELSE 'unmatched' END AS match_method,
+SELECT a.page_id, coalesce(e.ref_id, f.ref_id) AS matched_id, CASE WHEN e.ref_id IS NOT NULL THEN 'downloader_exact_path' WHEN f.ref_id IS NOT NULL THEN 'downloader_casefold_path' ELSE 'unmatched' END AS match_method,
        CASE WHEN e.ref_id IS NOT NULL THEN 1.0 WHEN f.ref_id IS NOT NULL THEN 0.99 END::DOUBLE AS match_confidence
 FROM a LEFT JOIN (SELECT path, min(ref_id) AS ref_id FROM b GROUP BY 1) e ON a.path = e.path LEFT JOIN f ON lower(a.path) = f.folded""")
 def exact_then_folded_match(spark: SparkSession, d: str) -> DataFrame:
@@ -72,8 +72,8 @@ def exact_then_folded_match(spark: SparkSession, d: str) -> DataFrame:
     every = refs.select("ref_path", "ref_id", F.explode(F.sequence(F.lit(1), F.col("n").cast("int"))).alias("k"))
     folded = every.groupBy(F.lower("ref_path").alias("f")).agg(F.count(F.lit(1)).alias("n"), F.min("ref_id").alias("fid")).where("n = 1").drop("n")
     both = files.join(refs.select(F.col("ref_path").alias("path"), F.col("ref_id").alias("eid")), "path", "left").join(folded, F.lower("path") == F.col("f"), "left")
-    method = F.when(F.col("eid").isNotNull(), "exact").when(F.col("fid").isNotNull(), "folded").otherwise("unmatched")
-    return both.select("page_id", F.coalesce("eid", "fid").alias("matched_id"), method.alias("match_method"), F.when(method == "exact", 1.0).when(method == "folded", 0.99).alias("match_confidence"))
+    method = F.when(F.col("eid").isNotNull(), "downloader_exact_path").when(F.col("fid").isNotNull(), "downloader_casefold_path").otherwise("unmatched")
+    return both.select("page_id", F.coalesce("eid", "fid").alias("matched_id"), method.alias("match_method"), F.when(F.col("eid").isNotNull(), 1.0).when(F.col("fid").isNotNull(), 0.99).alias("match_confidence"))
 
 
 @query("""
@@ -92,7 +92,7 @@ def content_candidates(spark: SparkSession, d: str) -> DataFrame:
 WITH a AS (SELECT source, count(*) AS file_count FROM documents GROUP BY 1),
      b AS (SELECT 'src' || (doc_id % 25) AS source, count(*) AS record_count FROM labels WHERE toxic = 1 GROUP BY 1)
 SELECT coalesce(a.source, b.source) AS source, coalesce(file_count, 0) AS file_count, coalesce(record_count, 0) AS record_count,
-       CASE WHEN coalesce(record_count, 0) > 1 THEN 'multi' WHEN record_count = 1 THEN 'single' ELSE 'orphan' END AS status FROM a FULL JOIN b ON a.source = b.source""")
+       CASE WHEN coalesce(record_count, 0) > 1 THEN 'multi_source_record' WHEN record_count = 1 THEN 'single_source_record' ELSE 'orphan_physical_folder' END AS status FROM a FULL JOIN b ON a.source = b.source""")
 def folder_rollup_status(spark: SparkSession, d: str) -> DataFrame:
     """A-11: folders of either side with their counts and status."""
     records = table(spark, d, "labels").where("toxic = 1").select(F.concat(F.lit("src"), (F.col("doc_id") % 25).cast("string")).alias("source"))

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,7 +10,7 @@ from tintwell.functions import ids, text
 from tintwell.operators import checks, relational
 from tintwell.sources import readers
 
-NAMESPACE = uuid.UUID("6ba7b811-9dad-11d1-80b4-00c04fd430c8")
+NAMESPACE = ids.NAMESPACE
 
 
 def build(spark: SparkSession, catalog_path: str, image_root: str, snapshot: str) -> dict[str, DataFrame]:

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -11,7 +10,7 @@ from pyspark.sql import functions as F
 from tintwell.functions import color, ids, text
 from tintwell.operators import entities, relational, similarity
 
-NAMESPACE = uuid.UUID("6ba7b811-9dad-11d1-80b4-00c04fd430c8")
+NAMESPACE = ids.NAMESPACE
 
 
 @dataclass(frozen=True)
@@ -38,16 +37,16 @@ def observations(regions: DataFrame, texts: DataFrame, records: DataFrame, optio
     tokens = F.array_distinct(F.flatten(F.transform("linked_texts", lambda t: text.shade_tokens(t, ascii_only=True))))
     rows = linked.withColumn("tokens", F.when(F.size("linked_texts") > 0, tokens))
     direct = text.shade_tokens(F.col("shade_code_text"), ascii_only=True)
-    rows = rows.withColumns({"code": F.when(F.size("tokens") == 1, F.get("tokens", F.lit(0))), "direct": F.when(F.size(direct) == 1, F.get(direct, F.lit(0)))})
+    rows = rows.withColumns({"code": F.when(F.size("tokens") == 1, F.get("tokens", F.lit(0))), "direct": direct})
     c = F.col
     problem = color.color_payload_problem(c("color_hex"), c("rgb"), c("lab"), options.lab_tolerance)
     reasons = entities.exclusion_reasons(c("links_broken"), c("tokens"), c("direct"), problem, c("extraction_status"), c("semantics"), c("region_type"), c("color_confidence"), c("association_confidence"))
     known = entities.resolve_codes(rows.where("code IS NOT NULL").select("image_id", "code").distinct(), records, ascii_only=True)
     rows = rows.join(known, ["image_id", "code"], "left")
-    local = ids.stable_id("shade", NAMESPACE, F.lit(options.snapshot), c("image_id"), c("code"))
-    shade = F.when(c("identity_status") == "business_resolved", ids.stable_id("shade", NAMESPACE, F.lit(options.snapshot), c("sku"))).when(c("code").isNotNull(), local)
+    local = ids.stable_id("shade_local", NAMESPACE, F.lit(options.snapshot), c("image_id"), c("code"))
+    shade = F.when(c("identity_status") == "business_resolved", ids.stable_id("shade_sku", NAMESPACE, F.lit(options.snapshot), c("sku"))).when(c("code").isNotNull(), local)
     lab = lambda k: F.get("lab", F.lit(k))
-    return rows.select("image_id", "region_id", ids.stable_id("obs", NAMESPACE, c("image_id"), c("region_id")).alias("observation_id"), c("code").alias("shade_code"), "identity_status", shade.alias("shade_id"), F.lit(options.representation).alias("representation"), color.normalized_hex(c("color_hex")).alias("color_hex"), lab(0).alias("l"), lab(1).alias("a"), lab(2).alias("b"), F.when(c("color_confidence") == "high", "high").otherwise("medium").alias("quality_tier"), "share", "dispersion", reasons.alias("reasons"), (F.size(reasons) == 0).alias("formal"))
+    return rows.select("image_id", "region_id", ids.stable_id("obs", NAMESPACE, c("image_id"), c("region_id")).alias("observation_id"), c("code").alias("shade_code"), F.coalesce("identity_status", F.lit("excluded")).alias("identity_status"), shade.alias("shade_id"), F.lit(options.representation).alias("representation"), color.normalized_hex(c("color_hex")).alias("color_hex"), lab(0).alias("l"), lab(1).alias("a"), lab(2).alias("b"), F.when(c("color_confidence") == "high", "high").otherwise("medium").alias("quality_tier"), "share", "dispersion", reasons.alias("reasons"), (F.size(reasons) == 0).alias("formal"))
 
 
 def profiles(observed: DataFrame) -> DataFrame:
