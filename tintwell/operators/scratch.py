@@ -20,11 +20,13 @@ _shipped: set[str] = set()
 
 
 def root(spark: SparkSession) -> str:
-    """The shared folder that the cluster names in spark.checkpoint.dir; a temporary one only where none is named."""
+    """The shared folder that the cluster names in spark.checkpoint.dir; a temporary one where none is named, in local mode alone."""
     global _own_root
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
+    if spark.sparkContext.master.split("[")[0] != "local":
+        raise RuntimeError("steps are written to the shared folder in spark.checkpoint.dir, and this session names none")
     if _own_root is None:
         _own_root = tempfile.mkdtemp(prefix="tintwell-")
         atexit.register(_remove_own)
@@ -74,7 +76,22 @@ def bounded_batches(df: DataFrame, size: str = "4m") -> DataFrame:
     if conf.get(BATCH, "67108864b") in ("67108864b", "67108864"):
         with contextlib.suppress(Exception):
             conf.set(BATCH, size)
-    return df
+    return spread(df)
+
+
+def spread(df: DataFrame, least_bytes: int = 8 << 20) -> DataFrame:
+    """df dealt over all cores, if it is a plain scan of fewer partitions than cores and not tiny; else df itself.
+
+    That is so for one file of one row group, which Spark cannot split. A large table has partitions enough.
+    """
+    plan = df._jdf.queryExecution()
+    if int(str(plan.optimizedPlan().stats().sizeInBytes())) < least_bytes:
+        return df
+    physical = plan.executedPlan()
+    if physical.getClass().getSimpleName() == "AdaptiveSparkPlanExec":  # it has exchanges, whose partitions are chosen as it runs
+        return df
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if physical.execute().getNumPartitions() < cores else df
 
 
 def ship(spark: SparkSession) -> None:
