@@ -93,7 +93,7 @@ def test_viterbi_equals_brute_force(model):
 
 
 def test_language_edge_cases(spark, model):
-    docs = spark.createDataFrame([(1, None), (2, ""), (3, "123 --- !"), (None, "banana"), (4, "fizz " * 40_000), (4, "fizz " * 40_000)], "doc_id long, text string")
+    docs = spark.createDataFrame([(1, None), (2, ""), (3, "123 --- ! ² ½"), (None, "banana"), (4, "fizz " * 40_000), (4, "fizz " * 40_000)], "doc_id long, text string")
     got = langid.identify(docs, model).collect()
     assert [r.lang_pred for r in got] == ["und", "und", "und", "aa", "zz", "zz"] and got[0].score == 0
     assert {r.lang_pred for r in langid.identify(docs, None).collect()} == {"und"}

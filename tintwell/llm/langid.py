@@ -7,7 +7,6 @@ becomes a span of its own and a stray word does not.
 
 from __future__ import annotations
 
-import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -39,7 +38,6 @@ SCRIPTS = {
 }
 NAMES = [*SCRIPTS, "other"]
 MEMO = 300_000
-_LETTERS = re.compile(r"[^\W\d_]+")
 
 
 def script(word: str) -> int:
@@ -59,7 +57,7 @@ def grams(word: str) -> list[str]:
 
 def core(word: str) -> str:
     """The letters of a word in lower case, joined."""
-    return "".join(_LETTERS.findall(word)).lower()
+    return "".join(filter(str.isalpha, word)).lower()
 
 
 @dataclass
