@@ -17,6 +17,7 @@ CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
 _own_root: str | None = None
 _shipped: set[str] = set()
+_homes: set[str] = set()
 
 
 def root(spark: SparkSession) -> str:
@@ -42,7 +43,11 @@ def _remove_own() -> None:
 def staged(df: DataFrame, label: str) -> DataFrame:
     """Write df as Parquet in the shared folder and read it back; shuffle files of the write are dropped at once."""
     spark = df.sparkSession
-    path = f"{root(spark)}/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
+    home = f"{root(spark)}/{spark.sparkContext.applicationId}"
+    path = f"{home}/{label}-{uuid.uuid4().hex}"
+    if home not in _homes:
+        _homes.add(home)
+        atexit.register(_remove, spark, home)
     before = spark.conf.get(CLEANUP, None)
     with contextlib.suppress(Exception):
         spark.conf.set(CLEANUP, "true")
@@ -60,9 +65,13 @@ def drop(df: DataFrame) -> None:
     """Delete a table that staged() wrote and that no later frame reads."""
     path = getattr(df, "_tintwell_path", None)
     if path:
-        spark = df.sparkSession
-        jvm = spark.sparkContext._jvm
-        p = jvm.org.apache.hadoop.fs.Path(path)
+        _remove(df.sparkSession, path)
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder; at the interpreter's end the session may be gone already, and its tables with it."""
+    with contextlib.suppress(Exception):
+        p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
         p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
