@@ -88,7 +88,7 @@ def bounded_batches(df: DataFrame, size: str = "4m") -> DataFrame:
     return spread(df)
 
 
-def spread(df: DataFrame, least_bytes: int = 8 << 20) -> DataFrame:
+def spread(df: DataFrame, least_bytes: int = 2 << 20) -> DataFrame:
     """df dealt over all cores, if it is a plain scan of fewer partitions than cores and not tiny; else df itself.
 
     That is so for one file of one row group, which Spark cannot split. A large table has partitions enough.
