@@ -93,6 +93,8 @@ def spread(df: DataFrame, least_bytes: int = 2 << 20) -> DataFrame:
 
     That is so for one file of one row group, which Spark cannot split. A large table has partitions enough.
     """
+    if df.isStreaming:
+        return df
     plan = df._jdf.queryExecution()
     if int(str(plan.optimizedPlan().stats().sizeInBytes())) < least_bytes:
         return df
