@@ -6,8 +6,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tintwell.llm import exact_dedup, packing, pii, quality, simhash
+from tintwell.llm import exact_dedup, jaccard, packing, pii, quality, simhash
 from tintwell.llm.queries import PII_KEY, WORD_BPE
+from tintwell.operators.graph import components
 from tintwell.operators.scratch import staged
 
 
@@ -23,9 +24,13 @@ def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, that of the smallest id, of each component of close fingerprints; rows without an id stay."""
-    groups = simhash.simhash_groups(docs)
-    gone = groups.where("component_id <> doc_id").select("doc_id")
+    """One document, that of the smallest id, of each component of near copies; rows without an id stay.
+
+    Linked are close fingerprints (operator 6) and texts with a Jaccard similarity of at least 0.8 of five-word shingles.
+    """
+    groups = simhash.simhash_groups(docs).where("component_id <> doc_id").select(F.col("doc_id").alias("u"), F.col("component_id").alias("v"))
+    roots = components(groups.unionByName(jaccard.links(docs)))
+    gone = roots.where("node <> root").select(F.col("node").alias("doc_id"))
     return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
 
 
