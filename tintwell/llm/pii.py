@@ -113,17 +113,38 @@ FORMS = (
     ("email", r"(?<![\w.+%-])[A-Za-z0-9](?:[\w.+%-]*[A-Za-z0-9_])?@(?:[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?\.)+[A-Za-z]{2,24}(?![\w-])"),
     ("iban", r"(?<!\w)[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?!\w)"),
     ("ip", r"(?<![\w.])\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3}(?![\w]|\.\d)"),
-    ("date", r"(?<![\w/.-])(?:\d{4}-\d{2}-\d{2}|\d{2}/\d{2}/\d{4}|\d{2}\.\d{2}\.\d{4})(?![\w/-]|\.\d)"),
+    ("date", r"(?<![\w/.-])(?:\d{4}-\d{2}-\d{2}(?=T\d{2}:?\d{2})|(?:\d{4}-\d{2}-\d{2}|\d{2}/\d{2}/\d{4}|\d{2}\.\d{2}\.\d{4})(?![\w/-]|\.\d))"),
     ("ssn", r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])"),
     ("card", r"(?<![\w.-])\d(?:[ -]?\d){12,18}(?![\w]|[.-]\d)"),
     ("phone", r"(?<![\w.+-])(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)[ .-]?|\d{2,4}[ .-])\d{3,4}[ .-]\d{3,4}(?![\w]|[.-]\d)|(?<!\w)\+\d{8,15}(?!\w)"),
 )
 _ANY = re.compile("|".join(f"(?P<{name}>{form})" for name, form in FORMS))
 _MAYBE = re.compile(r"[0-9@]")
+_FORM = {name: re.compile(form) for name, form in FORMS}
+_LATER_CARD = re.compile(_FORM["card"].pattern.partition(")")[2])
+_FOURS = re.compile(r"\d{4}(?:[ -]\d{4})+(?:[ -]\d{1,3})?")
+#: Lengths of IBANs by country, from the registry.
+IBAN_SIZES = {c: int(n) for n, cs in {
+    "15": "NO", "16": "BE", "18": "DK FI FO GL NL SD FK", "19": "MK SI", "20": "AT BA EE KZ LT LU XK MN", "21": "CH HR LI LV",
+    "22": "BG BH CR DE GB GE IE ME RS VA", "23": "AE GI IL IQ OM TL SO", "24": "AD CZ ES MD PK RO SA SE SK TN VG", "25": "LY PT ST",
+    "26": "IS TR", "27": "BI DJ FR GR IT MC MR SM", "28": "AL AZ BY CY DO GT HU LB NI PL SV", "29": "BR EG PS QA UA", "30": "JO KW MU YE", "31": "MT SC", "32": "LC", "33": "RU",
+}.items() for c in cs.split()}
+
+
+def _ends(kind: str, m: re.Match[str]) -> Iterator[int]:
+    """Where a value that starts with the match may end: at its end, or for cards and IBANs at an earlier group's end."""
+    yield m.end()
+    if kind not in ("card", "iban"):
+        return
+    size = IBAN_SIZES.get(m[0][:2]) if kind == "iban" else None
+    for cut in reversed([k for k, c in enumerate(m[0]) if c in " -"]):
+        n = sum(c.isalnum() for c in m[0][:cut])
+        if 13 <= n <= 19 if kind == "card" else n == size or (size is None and n >= 15):
+            yield m.start() + cut
 
 
 class Pseudonymiser:
-    """Replaces validated values in texts; what fails its validation is left as it stands."""
+    """Replaces validated values in texts; what has no valid reading is left as it stands."""
 
     def __init__(self, key: bytes, memo: int = 100_000):
         self.by, self.memo, self.known = Permuter(key), memo, {}
@@ -177,23 +198,58 @@ class Pseudonymiser:
             return code + _refill(rest, f"{self.by.permute(kind, int(own), 10 ** len(own), back=back):0{len(own)}d}")
         raise ValueError(kind)
 
+    def _known(self, kind: str, text: str) -> str | None:
+        key = (kind, text)
+        if key not in self.known:
+            if len(self.known) >= self.memo:
+                self.known.clear()
+            self.known[key] = self.value(*key)
+        return self.known[key]
+
+    def _first(self, kind: str, m: re.Match[str]) -> tuple[int, str] | None:
+        """End and pseudonym of the longest valid reading that starts with the match."""
+        return next(((e, new) for e in _ends(kind, m) if (new := self._known(kind, m.string[m.start() : e])) is not None), None)
+
+    def _found(self, text: str, at: int, limit: int) -> Iterator[tuple[str, int, int, str]]:
+        """(kind, start, end, pseudonym) of each value. Where a match is not valid, its other readings are tried in turn:
+
+        shorter ones of its kind from the same place, for cards those from a later group of it, other kinds from the same
+        place, and last any that starts later in it. Numbers in groups of four hold no telephone numbers.
+        """
+        tried = fours = at  # up to here no card starts, and no telephone number
+        while m := _ANY.search(text, at, limit):
+            start, kinds = m.start(), list(_FORM)
+            at = start + 1
+            for kind in kinds[kinds.index(m.lastgroup) :]:
+                whole = m if kind == m.lastgroup else _FORM[kind].match(text, start, limit)
+                if whole is None or (kind == "phone" and start < fours) or (kind == "card" and start < tried):
+                    continue
+                begin, found = start, self._first(kind, whole)
+                if kind == "card" and found is None:
+                    for border in re.finditer("[ -]", whole[0]):
+                        begin = start + border.end()
+                        later = _LATER_CARD.match(text, begin, limit)
+                        if begin >= tried and later and (found := self._first(kind, later)):
+                            yield from self._found(text, start, begin - 1)
+                            break
+                    else:
+                        tried = whole.end()
+                        if _FOURS.fullmatch(whole[0]):
+                            fours = whole.end()
+                if found:
+                    at = found[0]
+                    yield kind, begin, *found
+                    break
+
     def text(self, text: str | None) -> tuple[str | None, list[tuple[str, int, int]]]:
         """The text with every value replaced, and (kind, start, end) of each value in it; lengths can change for addresses."""
         if not text or not _MAYBE.search(text):
             return text, []
         out, spans, at, shift = [], [], 0, 0
-        for m in _ANY.finditer(text):
-            key = (m.lastgroup, m[0])
-            if key not in self.known:
-                if len(self.known) >= self.memo:
-                    self.known.clear()
-                self.known[key] = self.value(*key)
-            new = self.known[key]
-            if new is None:
-                continue
-            out += [text[at : m.start()], new]
-            spans.append((m.lastgroup, m.start() + shift, m.start() + shift + len(new)))
-            at, shift = m.end(), shift + len(new) - len(m[0])
+        for kind, start, end, new in self._found(text, 0, len(text)):
+            out += [text[at:start], new]
+            spans.append((kind, start + shift, start + shift + len(new)))
+            at, shift = end, shift + len(new) - (end - start)
         return ("".join(out) + text[at:], spans) if spans else (text, [])
 
 
