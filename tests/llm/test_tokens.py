@@ -140,3 +140,23 @@ def test_empty_tables(spark):
     empty = docs(spark, []).limit(0)
     assert token_counts.token_counts(empty, PIECE).count() == 0
     assert piece_codec.encode(empty, PIECE).count() == 0
+
+
+def test_each_occurrence_is_drawn_anew(spark):
+    word = " extraordinarily"
+    rows = piece_codec.encode(spark.createDataFrame([(k, word * 100) for k in range(8)], "doc_id long, text string"), PIECE, dropout=0.3, seed=1).collect()
+    c = piece_codec.codec(PIECE, 0.3, 1)
+    seen = set()
+    for r in rows:
+        texts = [c.model.pieces[i] for i in r.piece_ids]
+        cuts = "|".join(texts).replace("|▁", "\n").split("\n")
+        assert len(set(cuts)) > 10
+        seen |= set(cuts)
+    assert len(seen) > 40 and len({tuple(r.piece_ids) for r in rows}) == len(rows)
+
+
+def test_the_tree_agrees_with_the_heap(texts):
+    c = piece_codec.codec(PIECE, 0.25, 9)
+    for number, text in enumerate(t for t in texts[:40] if t and "▁" not in t):
+        units = c.model.units(text)
+        assert c.encode([text], [number]) == [b"".join(c.agenda(u, int(k)) for u, k in zip(units, c.keys(number, len(units)), strict=True))]

@@ -1,9 +1,11 @@
 """SentencePiece (merge type) encoding with seeded merge-dropout, and decoding.
 
-Pairs of neighbouring symbols whose join is a piece form an agenda, best score first, leftmost among equals. A candidate
-is skipped for good when a keyed hash of it falls below the dropout rate: the hash takes the seed, the variant, the unit
-of text and where the candidate's two halves lie, so a run can be repeated anywhere. Many units are worked at once: each
-step takes the best remaining candidate of every unit. With rate 0 the result is the library's own encoding.
+Pairs of neighbouring symbols whose join is a piece form an agenda, best score first, leftmost among equals. The t-th
+candidate that comes up is skipped for good when a keyed hash of t falls below the dropout rate. The key takes the seed,
+the document and the place of the unit of text in it, so that every occurrence of a word is drawn anew and a run can be
+repeated anywhere. What a unit becomes depends on which candidates were skipped alone; that is remembered as a tree. Many
+units are worked at once: each step takes the best remaining candidate of every unit. With rate 0 the result is the
+library's own encoding.
 """
 
 from __future__ import annotations
@@ -14,7 +16,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
@@ -23,6 +24,7 @@ from tintwell.llm.token_counts import SPACE, PieceModel, piece_model
 from tintwell.operators.scratch import bounded_batches
 
 MEMO, LONG = 320_000, 48
+_ALL = 2**64 - 1
 #: A literal U+2581 in a text, which would be read as a space; no text holds a lone surrogate.
 _LITERAL = "\udfff"
 _codecs: dict[tuple, Codec] = {}
@@ -60,7 +62,8 @@ class Codec:
         self.rank = np.empty(len(self.model.pieces), np.int32)
         order = sorted(range(len(self.model.pieces)), key=lambda i: -self.model.score.get(self.model.pieces[i], -1e9))
         self.rank[order] = np.arange(len(order))
-        self.known: dict[tuple[int, str] | str, bytes] = {}
+        self._turns = _mix(np.arange(1, 4 * LONG + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+        self._forget()
 
     def _hash_pairs(self, pairs: list[tuple[int, int]]) -> None:
         """An open hash table of all pairs of pieces whose join is a piece, at most half full."""
@@ -94,30 +97,42 @@ class Codec:
             todo, key, slot = todo[more], key[more], (slot[more] + 1) & self.mask
         return out
 
-    def agenda(self, unit: str, variant: int) -> bytes:
+    def _forget(self) -> None:
+        """Node k is a unit and the turns at which it lost a candidate; children are keyed by node << 8 | turn."""
+        self.roots: dict[str, int] = {}
+        self.children: dict[int, int] = {}
+        self.nodes: list[tuple[str, tuple[int, ...]]] = []
+        self.pieces: list[bytes] = []
+        self.turns = np.zeros(0, np.int16)
+
+    def keys(self, document: int, n: int) -> np.ndarray:
+        """The keys of the first n units of a document."""
+        own = _mix(np.array([(document ^ self.seed * 0x9E3779B97F4A7C15) & _ALL], np.uint64) + np.uint64(1))
+        return _mix(own ^ _mix(np.arange(1, n + 1, dtype=np.uint64)))
+
+    def agenda(self, unit: str, key: int) -> bytes:
         """Ids of one unit, with the agenda as a heap; for units of any length."""
         ids, rank = self.model.ids, self.rank
         parts: list[str | None] = list(unit)
-        ends, before, after = list(range(1, len(unit) + 1)), list(range(-1, len(unit) - 1)), list(range(1, len(unit) + 1))
-        key = self._key(unit, variant)
+        before, after = list(range(-1, len(unit) - 1)), list(range(1, len(unit) + 1))
+        turns = self._turns if len(unit) <= LONG else _mix(np.arange(1, 4 * len(unit) + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+        skipped = iter((_mix(np.uint64(key) ^ turns) < self.limit).tolist())
         heap: list[tuple[int, int, str, str, int]] = []
 
         def offer(lefts: list[int]) -> None:
             pairs = [(i, after[i]) for i in lefts if i >= 0 and after[i] < len(parts) and parts[i] in ids and parts[after[i]] in ids]
             pairs = [(i, j, w) for i, j in pairs if (w := ids.get(parts[i] + parts[j])) is not None]
-            if pairs:
-                place = np.array([i << 42 | j << 21 | ends[j] for i, j, _ in pairs], np.uint64)
-                skipped = _mix(key ^ _mix(place)) < self.limit
-                for (i, j, w), skip in zip(pairs, skipped.tolist(), strict=True):
-                    if not skip:
-                        heapq.heappush(heap, (int(rank[w]), i, parts[i], parts[j], j))
+            for i, j, w in pairs:
+                heapq.heappush(heap, (int(rank[w]), i, parts[i], parts[j], j))
 
         offer(list(range(len(parts) - 1)))
         while heap:
             _, i, left, right, j = heapq.heappop(heap)
             if parts[i] != left or after[i] != j or parts[j] != right:
                 continue
-            parts[i], parts[j], ends[i], after[i] = left + right, None, ends[j], after[j]
+            if next(skipped):
+                continue
+            parts[i], parts[j], after[i] = left + right, None, after[j]
             if after[i] < len(parts):
                 before[after[i]] = i
             offer([before[i], i])
@@ -127,62 +142,105 @@ class Codec:
                 out += [ids[p]] if p in ids else [self.model.byte_ids[b] for b in (SPACE if p == _LITERAL else p).encode("utf-8", "surrogatepass")]
         return np.array(out, "<i4").tobytes()
 
-    def _key(self, unit: str, variant: int) -> np.ndarray:
-        return np.array([xxhash.xxh3_64_intdigest(unit.encode("utf-8", "surrogatepass"), seed=self.seed)], np.uint64) ^ _mix(np.array([variant + 1], np.uint64))
+    def units(self, units: list[str], key: int) -> list[bytes]:
+        """Little-endian 32-bit ids of each unit under one key."""
+        return self._pieces(units, np.full(len(units), key, np.uint64))
 
-    def units(self, units: list[str], variant: int) -> list[bytes]:
-        """Little-endian 32-bit ids of each unit; short units are worked in groups of like length, long ones one by one."""
-        sizes = np.fromiter(map(len, units), np.int64, len(units))
+    def _pieces(self, units: list[str], keys: np.ndarray) -> list[bytes]:
+        """Ids of each unit under its key; long units are worked one by one, short ones along the tree of skipped candidates."""
         out = [b""] * len(units)
+        sizes = np.fromiter(map(len, units), np.int64, len(units))
+        short = np.flatnonzero(sizes <= LONG)
         for i in np.flatnonzero(sizes > LONG).tolist():
-            out[i] = self.agenda(units[i], variant)
+            out[i] = self.agenda(units[i], int(keys[i]))
+        some = units if len(short) == len(units) else [units[i] for i in short.tolist()]
+        new = list({u for u in some if u not in self.roots})
+        first = len(self.nodes)
+        self._add([(u, ()) for u in new])
+        self.roots.update(zip(new, range(first, first + len(new)), strict=True))
+        node = np.fromiter(map(self.roots.__getitem__, some), np.int64, len(some))
+        live, turn = np.arange(len(some)) if self.limit else np.zeros(0, np.int64), 0
+        keys = keys[short]
+        while len(live := live[self.turns[node[live]] > turn]):
+            hit = live[_mix(keys[live] ^ self._turns[turn]) < self.limit]
+            branch = (node[hit] << 8 | turn).tolist()
+            missing = list({b for b in branch if b not in self.children})
+            first = len(self.nodes)
+            self._add([(u, (*skips, turn)) for u, skips in (self.nodes[b >> 8] for b in missing)])
+            self.children.update(zip(missing, range(first, first + len(missing)), strict=True))
+            node[hit] = np.fromiter(map(self.children.__getitem__, branch), np.int64, len(branch))
+            turn += 1
+        got = map(self.pieces.__getitem__, node.tolist())
+        if len(short) == len(units):
+            return list(got)
+        for i, g in zip(short.tolist(), got, strict=True):
+            out[i] = g
+        return out
+
+    def _add(self, nodes: list[tuple[str, tuple[int, ...]]]) -> None:
+        """New nodes of the tree, worked in groups of like length."""
+        if not nodes:
+            return
+        sizes = np.fromiter((len(u) for u, _ in nodes), np.int64, len(nodes))
         order = np.argsort(sizes, kind="stable")
-        order = order[: int((sizes <= LONG).sum())]
         ascending, at = sizes[order], 0
+        pieces, turns = [b""] * len(nodes), np.zeros(len(nodes), np.int16)
         while at < len(order):
             size = int(ascending[at])
             to = min(int(np.searchsorted(ascending, size + 1, side="right")), at + min(20_000, 400_000 // (size + 1)))
             places = order[at:to].tolist()
-            for i, got in zip(places, self._group([units[i] for i in places], variant), strict=True):
-                out[i] = got
+            got, turns[places] = self._group([nodes[i] for i in places])
+            for i, g in zip(places, got, strict=True):
+                pieces[i] = g
             at = to
-        return out
+        self.nodes += nodes
+        self.pieces += pieces
+        self.turns = np.concatenate([self.turns, turns])
 
-    def _group(self, units: list[str], variant: int) -> list[bytes]:
+    def _group(self, nodes: list[tuple[str, tuple[int, ...]]]) -> tuple[list[bytes], np.ndarray]:
+        """Ids of each unit without the candidates of the turns it skips, and how many turns it takes."""
+        units = [u for u, _ in nodes]
         n, width = len(units), max(map(len, units))
+        skips = np.zeros((n, 1 + max((t[-1] for _, t in nodes if t), default=-1)), bool)
+        rows = [(r, t) for r, (_, ts) in enumerate(nodes) for t in ts]
+        if rows:
+            skips[tuple(np.array(rows).T)] = True
+        turns = np.zeros(n, np.int16)
         # Symbols: a piece's id; below -1 a character outside the vocabulary, its code point negated less 2; -1 nothing.
         sym = np.full((n, width + 2), -1, np.int32)
         code = np.frombuffer("".join(units).encode("utf-32-le", "surrogatepass"), "<u4").astype(np.int32)
         sym[:, :width][np.arange(width)[None, :] < np.fromiter(map(len, units), np.int64, n)[:, None]] = np.where(self.letter[code] >= 0, self.letter[code], -2 - code)
-        digest, seed = xxhash.xxh3_64_intdigest, self.seed
-        keys = np.array([digest(u.encode("utf-8", "surrogatepass"), seed) for u in units], np.uint64) ^ _mix(np.array([variant + 1], np.uint64))
         # A symbol stands at its first character; the one after it at after, which is also where it ends.
         after = np.tile(np.arange(1, width + 3, dtype=np.int32), (n, 1))
         before = np.tile(np.arange(-1, width + 1, dtype=np.int32), (n, 1))
         none = np.int32(2**31 - 1)
 
         def candidates(r: np.ndarray, c: np.ndarray) -> np.ndarray:
-            """Rank of the join of the symbol at c of rows r with the next; none where there is none or the hash skips it."""
+            """Rank of the join of the symbol at c of rows r with the next; none where there is none."""
             j = after[r, c]
             whole = self._joined(sym[r, c], sym[r, np.minimum(j, width)])
             out = np.full(len(r), none, np.int32)
             at = np.flatnonzero(whole >= 0)
-            mid = j[at].astype(np.int64)
-            place = (c[at].astype(np.int64) << 42 | mid << 21 | after[r[at], mid]).astype(np.uint64)
-            taken = _mix(keys[r[at]] ^ _mix(place)) >= self.limit
-            out[at[taken]] = self.rank[whole[at[taken]]]
+            out[at] = self.rank[whole[at]]
             return out
 
         if width > 1:
             r, c = np.divmod(np.arange(n * (width - 1)), width - 1)
             agenda = np.full((n, width + 2), none, np.int32)
             agenda[:, : width - 1] = candidates(r, c).reshape(n, width - 1)
-            live = np.arange(n)
+            live, turn = np.arange(n), 0
             while len(live):
                 own = agenda if len(live) == n else agenda[live]
                 best = own.argmin(1)
                 more = own[np.arange(len(live)), best] < none
                 live, best = live[more], best[more]
+                turns[live] += 1
+                rest = live
+                if turn < skips.shape[1]:
+                    skip = skips[live, turn]
+                    agenda[live[skip], best[skip]] = none
+                    live, best = live[~skip], best[~skip]
+                turn += 1
                 j = after[live, best]
                 k = after[live, j]
                 sym[live, best] = self._joined(sym[live, best], sym[live, j])
@@ -192,6 +250,7 @@ class Codec:
                 p = before[live, best]
                 ok = p >= 0
                 agenda[live[ok], p[ok]] = candidates(live[ok], p[ok])
+                live = rest
         filled = sym != -1
         lengths = filled.sum(1)
         flat = sym[filled]
@@ -208,33 +267,23 @@ class Codec:
                         row += [byte_ids[b] for b in (SPACE if c == _LITERAL else c).encode("utf-8", "surrogatepass")]
                 out.append(np.array(row, "<i4").tobytes())
                 at = end
-            return out
+            return out, turns
         raw = flat.astype("<i4").tobytes()
         cuts = [0, *(4 * np.cumsum(lengths)).tolist()]
-        return [raw[a:b] for a, b in zip(cuts, cuts[1:], strict=False)]
-
-    def encode(self, texts: list[str | None], variants: list[int]) -> list[bytes]:
-        """Ids of whole texts, each in its variant; a null or empty text has none."""
-        split, wanted = [], {}
-        for text, variant in zip(texts, variants, strict=True):
-            text = text or ""
-            units = self.model.units(text.replace(SPACE, _LITERAL) if SPACE in text else text)
-            split.append(units)
-            wanted.setdefault(variant, []).append(units)
-        if len(self.known) > MEMO:
-            self.known = {}
-        out: dict[int, dict[str, bytes]] = {}
-        for variant, lists in wanted.items():
-            own = self.known.setdefault(variant, {})
-            if len(own) > MEMO // max(1, len(self.known)):
-                own.clear()
-            new = list({u for units in lists for u in units if u not in own})
-            own.update(zip(new, self.units(new, variant), strict=True))
-            out[variant] = own
-        return [b"".join(map(out[v].__getitem__, units)) for units, v in zip(split, variants, strict=True)]
+        return [raw[a:b] for a, b in zip(cuts, cuts[1:], strict=False)], turns
+
+    def encode(self, texts: list[str | None], documents: list[int]) -> list[bytes]:
+        """Ids of whole texts, each under its document's number; a null or empty text has none."""
+        if len(self.nodes) > MEMO:
+            self._forget()
+        split = [self.model.units(t.replace(SPACE, _LITERAL) if SPACE in t else t) for t in (text or "" for text in texts)]
+        keys = [self.keys(d, len(units)) for d, units in zip(documents, split, strict=True)]
+        flat = self._pieces([u for units in split for u in units], np.concatenate([np.zeros(0, np.uint64), *keys]))
+        cuts = np.cumsum([0, *map(len, split)]).tolist()
+        return [b"".join(flat[a:b]) for a, b in zip(cuts, cuts[1:], strict=False)]
 
     def decode(self, ids: list[int]) -> str:
-        """The text of an encoding of any variant."""
+        """The text of an encoding."""
         return b"".join(map(self.table.__getitem__, ids))[1:].decode("utf-8", "surrogatepass")
 
 
@@ -245,10 +294,11 @@ def codec(path: str, dropout: float, seed: int) -> Codec:
     return _codecs[key]
 
 
-def encode(docs: DataFrame, model_path: str, dropout: float = 0.1, seed: int = 0, variants: int = 4, id_col: str = "doc_id", text_col: str = "text", verify: bool = False, block: int = 512) -> DataFrame:
-    """(id, variant, n_tokens, piece_ids) of every row, from its whole text.
+def encode(docs: DataFrame, model_path: str, dropout: float = 0.1, seed: int = 0, id_col: str = "doc_id", text_col: str = "text", verify: bool = False, block: int = 512) -> DataFrame:
+    """(id, n_tokens, piece_ids) of every row, from its whole text.
 
-    A row's variant is a hash of seed and id, one of `variants`; within a variant equal units of text get equal pieces.
+    Candidates are skipped by seed, id and place in the text, so that equal words are encoded anew at each occurrence; rows
+    without an id take their text for it.
     With verify, decoded_sha256 is the digest of what the pieces decode to, found in the same pass. A null or empty text
     has no pieces and decodes to the empty text. Repeated rows are encoded alike; null ids are returned as they come. Other columns
     are not read.
@@ -259,12 +309,11 @@ def encode(docs: DataFrame, model_path: str, dropout: float = 0.1, seed: int = 0
         for batch in batches:
             for at in range(0, batch.num_rows, block):
                 part = batch.slice(at, block)
-                kinds = part.column(2).to_pylist()
-                got = c.encode(part.column(1).to_pylist(), kinds)
+                got = c.encode(part.column(1).to_pylist(), part.column(2).to_pylist())
                 counts = np.array([len(g) // 4 for g in got], np.int64)
                 flat = pa.array(np.frombuffer(b"".join(got), "<i4"))
                 lists = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(counts)].astype(np.int32)), flat)
-                columns, names = [part.column(0), part.column(2), pa.array(counts), lists], [id_col, "variant", "n_tokens", "piece_ids"]
+                columns, names = [part.column(0), pa.array(counts), lists], [id_col, "n_tokens", "piece_ids"]
                 if verify:
                     back = (c.decode(np.frombuffer(g, "<i4").tolist()) for g in got)
                     columns.append(pa.array([hashlib.sha256(t.encode("utf-8", "surrogatepass")).hexdigest() for t in back], pa.string()))
@@ -272,8 +321,8 @@ def encode(docs: DataFrame, model_path: str, dropout: float = 0.1, seed: int = 0
                 yield pa.RecordBatch.from_arrays(columns, names=names)
 
     kind = docs.schema[id_col].dataType.simpleString()
-    variant = F.pmod(F.xxhash64(F.lit(seed), F.col(id_col)), F.lit(variants)).cast("int").alias("variant")
-    return bounded_batches(docs.select(id_col, text_col, variant)).mapInArrow(run, f"`{id_col}` {kind}, variant int, n_tokens bigint, piece_ids array<int>" + ", decoded_sha256 string" * verify)
+    number = F.xxhash64(F.lit(seed), F.when(F.col(id_col).isNull(), F.col(text_col).cast("string")), F.col(id_col)).alias("_number")
+    return bounded_batches(docs.select(id_col, text_col, number)).mapInArrow(run, f"`{id_col}` {kind}, n_tokens bigint, piece_ids array<int>" + ", decoded_sha256 string" * verify)
 
 
 def decode(rows: DataFrame, model_path: str, ids_col: str = "piece_ids", to: str = "text") -> DataFrame:
