@@ -395,6 +395,12 @@ def text_normalize(spark: SparkSession, d: str) -> DataFrame:
     return rows.select("conv_id", "turn", text.visible_text(F.col("text"), ascii_only=True).alias("normalized"))
 
 
+@query()
+def text_normalize_all(spark: SparkSession, d: str) -> DataFrame:
+    """ST-4 on all turns, with NFKC, which SQL has not."""
+    return table(spark, d, "conversations").select("conv_id", "turn", text.visible_text(F.col("text")).alias("normalized"))
+
+
 @query("""SELECT page_id, 'page_' || lpad((page_id % 1000)::VARCHAR, 3, '0') || '_' || substr(sha1(url), 1, 12) || '.' || coalesce(nullif(regexp_extract(lower(regexp_extract(url, '^[a-z]+://[^/?#]*([^?#]*)', 1)), '[^/.][^/]*\\.([a-z0-9]{1,8})$', 1), ''), 'jpg') AS file_name FROM pages""")
 def url_parts(spark: SparkSession, d: str) -> DataFrame:
     """ST-12: file names of URLs."""
