@@ -33,15 +33,15 @@ def observations(regions: DataFrame, texts: DataFrame, records: DataFrame, optio
     color_hex, rgb, lab, color_confidence, association_confidence, share, dispersion. texts: image_id, text_id,
     text_type, normalized_text. records: image_id, record_id, sku, color_text.
     """
-    linked = entities.linked_codes(regions, texts)
+    linked = entities.linked_codes(regions, texts.withColumn("normalized_text", text.nfkc("normalized_text")))
     tokens = F.array_distinct(F.flatten(F.transform("linked_texts", lambda t: text.shade_tokens(t, ascii_only=True))))
     rows = linked.withColumn("tokens", F.when(F.size("linked_texts") > 0, tokens))
-    direct = text.shade_tokens(F.col("shade_code_text"), ascii_only=True)
+    direct = text.shade_tokens(F.col("shade_code_text"))
     rows = rows.withColumns({"code": F.when(F.size("tokens") == 1, F.get("tokens", F.lit(0))), "direct": direct})
     c = F.col
     problem = color.color_payload_problem(c("color_hex"), c("rgb"), c("lab"), options.lab_tolerance)
     reasons = entities.exclusion_reasons(c("links_broken"), c("tokens"), c("direct"), problem, c("extraction_status"), c("semantics"), c("region_type"), c("color_confidence"), c("association_confidence"))
-    known = entities.resolve_codes(rows.where("code IS NOT NULL").select("image_id", "code").distinct(), records, ascii_only=True)
+    known = entities.resolve_codes(rows.where("code IS NOT NULL").select("image_id", "code").distinct(), records)
     rows = rows.join(known, ["image_id", "code"], "left")
     local = ids.stable_id("shade_local", NAMESPACE, F.lit(options.snapshot), c("image_id"), c("code"))
     shade = F.when(c("identity_status") == "business_resolved", ids.stable_id("shade_sku", NAMESPACE, F.lit(options.snapshot), c("sku"))).when(c("code").isNotNull(), local)
