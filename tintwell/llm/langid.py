@@ -13,7 +13,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tintwell.llm.sampling import bounded, held_out
@@ -107,7 +107,7 @@ class LanguageModel:
 
     def paths(self, scores: list[np.ndarray], group: int = 128) -> list[np.ndarray]:
         """The best label sequence of each array of word scores; ties go to staying, then to the first language."""
-        out: list[np.ndarray] = [np.zeros(0, np.int8)] * len(scores)
+        out: list[np.ndarray] = [np.zeros(0, np.int16)] * len(scores)
         order = sorted(range(len(scores)), key=lambda i: -len(scores[i]))
         at = 0
         while at < len(order):
@@ -119,7 +119,7 @@ class LanguageModel:
                 s[: len(scores[i]), g] = scores[i]
             rows = np.arange(len(some))
             best = np.zeros((len(some), len(self.langs)), np.float32)
-            moved, source = np.zeros(s.shape, bool), np.zeros((longest, len(some)), np.int8)
+            moved, source = np.zeros(s.shape, bool), np.zeros((longest, len(some)), np.int16)
             for t in range(longest):
                 if t:
                     top = best.argmax(1)
@@ -129,7 +129,7 @@ class LanguageModel:
                     np.maximum(best, other, out=best)
                 best += s[t]
             now = best.argmax(1)
-            path = np.zeros((longest, len(some)), np.int8)
+            path = np.zeros((longest, len(some)), np.int16)
             for t in range(longest - 1, -1, -1):
                 path[t] = now
                 now = np.where(moved[t, rows, now], source[t], now)
@@ -175,7 +175,7 @@ class LanguageModel:
 def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", per_lang: int = 400, max_grams: int = 60_000, max_langs: int = 256, penalty: float = 8.0) -> LanguageModel | None:
     """Learn n-gram weights from at most about 2 * per_lang whole texts of each language outside the held-out fold.
 
-    N-grams are counted on the executors; the max_grams most frequent reach the driver. None if there is nothing to learn.
+    N-grams are counted on the executors; max_grams reach the driver, the most frequent of each language. None if there is nothing to learn.
     """
     rows = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull() & F.col(id_col).isNotNull() & ~held_out(id_col)).select(id_col, text_col, F.col(lang_col).cast("string").alias("_lang"))
     sample = bounded(rows, "_lang", id_col, per_lang, max_langs)
@@ -194,7 +194,9 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
             yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in part]), pa.array([k[1] for k in part]), pa.array([k[2] for k in part], pa.int32()), pa.array([found[k] for k in part], pa.int64())], names=["lang", "gram", "kind", "n"])
 
     counted = bounded_batches(sample.select(text_col, "_lang")).mapInArrow(run, "lang string, gram string, kind int, n bigint").groupBy("lang", "gram", "kind").agg(F.sum("n").alias("n"))
-    got = counted.orderBy(F.desc("n"), "lang", "gram", "kind").limit(max_grams).collect()
+    # Languages take turns, so that none loses its place to one with more n-grams.
+    turn = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "gram", "kind"))
+    got = counted.withColumn("turn", turn).orderBy("turn", F.desc("n"), "lang").limit(max_grams).collect()
     if not got:
         return None
     langs = sorted({r["lang"] for r in got})

@@ -22,7 +22,7 @@ def bounded(rows: DataFrame, class_col: str, id_col: str, per_class: int, max_cl
 
     One count by class sets the share of hashes to take, so nothing is sorted and no class meets in one task.
     """
-    counts = rows.groupBy(class_col).count().limit(max_classes).collect()
+    counts = rows.groupBy(class_col).count().orderBy(F.desc("count"), class_col).limit(max_classes).collect()
     if not counts:
         return rows.limit(0)
     share = None
