@@ -374,6 +374,20 @@ def token_entity_resolve(spark: SparkSession, d: str) -> DataFrame:
     return entities.resolve_codes(codes, records, ascii_only=True)
 
 
+@query("""
+WITH c AS (SELECT DISTINCT l_suppkey % 50 AS image_id, CAST(l_quantity AS INT)::VARCHAR AS code FROM lineitem),
+ r AS (SELECT p_partkey % 50 AS image_id, p_partkey AS record_id, 'sku' || (p_partkey % 3) AS sku, regexp_extract(p_brand, '#([0-9]+)', 1) AS code FROM part),
+ f AS (SELECT image_id, code, count(DISTINCT sku) AS n, min(sku) AS sku, min(record_id) AS record_id FROM r GROUP BY 1, 2)
+SELECT c.image_id, c.code, CASE WHEN n = 1 THEN 'business_resolved' WHEN n > 1 THEN 'image_local_ambiguous' ELSE 'image_local_unmatched' END AS identity_status, CASE WHEN n = 1 THEN f.sku END AS sku, CASE WHEN n = 1 THEN f.record_id END AS record_id
+FROM c LEFT JOIN f ON c.image_id = f.image_id AND c.code = f.code""")
+def token_entity_resolve_all(spark: SparkSession, d: str) -> DataFrame:
+    """J-20 on all lines: codes of images against the colour labels of their products."""
+    codes = table(spark, d, "lineitem").select((F.col("l_suppkey") % 50).alias("image_id"), F.col("l_quantity").cast("int").cast("string").alias("code")).distinct()
+    k = F.col("p_partkey")
+    records = table(spark, d, "part").select((k % 50).alias("image_id"), k.alias("record_id"), F.concat(F.lit("sku"), (k % 3).cast("string")).alias("sku"), F.regexp_replace("p_brand", "Brand", "shade ").alias("color_text"))
+    return entities.resolve_codes(codes, records, ascii_only=True)
+
+
 @query("""
 WITH a AS (SELECT l_orderkey AS image_id, list(DISTINCT (l_partkey % 12)::VARCHAR) AS context, list(DISTINCT (l_suppkey % 12)::VARCHAR) FILTER (l_quantity > 25) AS depicted, max(l_quantity) < 49 AS role_valid, count(*) > 4 AS multi FROM lineitem WHERE l_partkey % 9 <> 0 GROUP BY 1),
  s AS (SELECT image_id, context, coalesce(depicted, []) AS depicted, role_valid, multi, len(list_intersect(context, coalesce(depicted, []))) AS overlap FROM a)
