@@ -3,6 +3,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 import sentencepiece
@@ -77,7 +78,44 @@ def test_dropout_is_lossless_repeatable_and_varied(spark, texts):
 def test_groups_agree_with_the_heap(texts):
     c = piece_codec.codec(PIECE, 0.25, 9)
     units = list({u for t in texts if t for u in c.model.units(t.replace("▁", "\udfff"))})
-    assert c.units(units, 2) == [c.agenda(u, 2) for u in units]
+    keys = np.arange(len(units), dtype=np.uint64) * np.uint64(77)
+    flat, n, _ = c.model.merger.many(units, lost=lambda rows, turn: c._loses(keys[rows], turn))
+    ends = np.cumsum(n)
+    assert [flat[b - k : b].tolist() for b, k in zip(ends, n, strict=True)] == [c.alone(u, int(k)).tolist() for u, k in zip(units, keys, strict=True)]
+
+
+def _agenda(model, unit, lost):
+    """By the definition, one candidate after the other; lost(t): whether the t-th is skipped."""
+    parts, never, turn = list(unit), set(), 0
+    while True:
+        found = [(-model.score[a + b], i) for i, (a, b) in enumerate(zip(parts, parts[1:], strict=False)) if a + b in model.ids and (i, a, b, len("".join(parts[:i]))) not in never and a in model.ids and b in model.ids]
+        if not found:
+            return parts
+        _, i = min(found)
+        turn += 1
+        if lost(turn - 1):
+            never.add((i, parts[i], parts[i + 1], len("".join(parts[:i]))))
+            never = {(j, a, b, at) for _, a, b, at in never for j in range(len(parts))}
+            continue
+        parts[i : i + 2] = [parts[i] + parts[i + 1]]
+
+
+def test_the_query_equals_brute_force(spark, sf_dir):
+    """Whole texts by the definition of the agenda, under the keys of their documents."""
+    c = piece_codec.codec(PIECE, 0.1, 0)
+    got = {r.doc_id: r for r in queries.op10_piece_codec(spark, sf_dir).collect()}
+    rows = spark.read.parquet(f"{sf_dir}/documents.parquet").selectExpr("doc_id", "text", "xxhash64(0, cast(null as string), doc_id) n").collect()
+    assert set(got) == {r.doc_id for r in rows}
+    for r in rows:
+        assert got[r.doc_id].decoded_sha256 == hashlib.sha256((r.text or "").encode()).hexdigest()
+    for r in [r for r in rows if len(r.text) < 1500][:40]:
+        units = c.model.units(r.text)
+        want = []
+        for u, k in zip(units, c.keys(np.array([r.n]), np.array([0, len(units)])), strict=True):
+            drawn = c.skipped(k, 0, 400)
+            for p in _agenda(c.model, u, lambda t, drawn=drawn: drawn[t]):
+                want += [c.model.ids[p]] if p in c.model.ids else [c.model.byte_ids[b] for b in p.encode()]
+        assert got[r.doc_id].piece_ids == want and got[r.doc_id].n_tokens == len(want)
 
 
 def _check_packing(pieces, encoded):
@@ -158,5 +196,39 @@ def test_each_occurrence_is_drawn_anew(spark):
 def test_the_tree_agrees_with_the_heap(texts):
     c = piece_codec.codec(PIECE, 0.25, 9)
     for number, text in enumerate(t for t in texts[:40] if t and "▁" not in t):
-        units = c.model.units(text)
-        assert c.encode([text], [number]) == [b"".join(c.agenda(u, int(k)) for u, k in zip(units, c.keys(number, len(units)), strict=True))]
+        us = c.model.units(text)
+        for _ in range(3):  # met for the first time, for the second, and remembered
+            ids, cuts = c.encode(pa.array([text, "", text]), np.array([number, 5, number]))
+            want = [i for u, k in zip(us, c.keys(np.array([number]), np.array([0, len(us)])), strict=True) for i in c.alone(u, int(k)).tolist()]
+            assert ids.tolist() == want + want and cuts.tolist() == [0, len(want), len(want), 2 * len(want)]
+
+
+def test_pairs_are_decided_as_by_encoding(library):
+    m = token_counts.piece_model(PIECE)
+    rng = np.random.default_rng(5)
+    a, b = (rng.choice(np.array(list(m.ids.values())), 20_000) for _ in range(2))
+    ids, n, _ = m.merger.many([m.pieces[x] + m.pieces[y] for x, y in zip(a, b, strict=True)])
+    first = np.cumsum(n) - n
+    want = [k == 2 and ids[at] == x and ids[at + 1] == y for at, k, x, y in zip(first, n, a, b, strict=True)]
+    assert m.merger.stays(a, b).tolist() == want
+
+
+def test_very_long_units():
+    """Neither a text without any space nor many lines of another script take memory beyond their own size."""
+    c, m = piece_codec.codec(PIECE, 0.1, 0), token_counts.piece_model(PIECE)
+    long = "abcde" * 1_000_000
+    ids, cuts = c.encode(pa.array([long]), np.array([1]))
+    assert bytes(c.decode(ids, cuts)[0]) == long.encode()
+    lines = pa.array(["漢字仮名交じり" * 3 + str(k) for k in range(20_000)])
+    before = len(m._counts)
+    m.prefixes(lines)
+    assert len(m._counts) - before <= 300_000 and all(len(u) <= 64 for u in m._counts)
+    counts, edges = m.prefixes(pa.array([long[:200_000], None, "a"]))
+    assert edges.tolist()[1:3] == [200_001, 200_002] and counts[200_001] == 0
+
+
+def test_chars_in_limit(spark, library):
+    some = ["", "a b c d e", None, "漢字" * 9, "word " * 9]
+    rows = {r.doc_id: r.chars_in_limit for r in token_counts.token_counts(spark.createDataFrame(list(enumerate(some)), "doc_id long, text string"), PIECE, limit=4).collect()}
+    for k, t in enumerate(some):
+        assert rows[k] == max(i for i in range(len(t or "") + 1) if len(library.encode((t or "")[:i])) <= 4)

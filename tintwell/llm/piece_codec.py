@@ -3,37 +3,46 @@
 Pairs of neighbouring symbols whose join is a piece form an agenda, best score first, leftmost among equals. The t-th
 candidate that comes up is skipped for good when a keyed hash of t falls below the dropout rate. The key takes the seed,
 the document and the place of the unit of text in it, so that every occurrence of a word is drawn anew and a run can be
-repeated anywhere. What a unit becomes depends on which candidates were skipped alone; that is remembered as a tree. Many
-units are worked at once: each step takes the best remaining candidate of every unit. With rate 0 the result is the
-library's own encoding.
+repeated anywhere. What a unit becomes depends on which candidates were skipped alone; that is remembered as a tree, and
+all occurrences in a batch walk down it together. With rate 0 the result is the library's own encoding.
 """
 
 from __future__ import annotations
 
 import hashlib
-import heapq
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from tintwell.llm.token_counts import SPACE, PieceModel, piece_model
+from tintwell.llm import units
+from tintwell.llm.tables import mix
+from tintwell.llm.token_counts import LITERAL, SPACE, PieceModel, piece_model
 from tintwell.operators.scratch import bounded_batches
 
-MEMO, LONG = 320_000, 48
+NODES, LONG = 400_000, 48
 _ALL = 2**64 - 1
-#: A literal U+2581 in a text, which would be read as a space; no text holds a lone surrogate.
-_LITERAL = "\udfff"
+_TURN = np.uint64(0x9E3779B97F4A7C15)
 _codecs: dict[tuple, Codec] = {}
 
 
-def _mix(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
+class _Grown:
+    """A numpy array that grows at its end."""
+
+    def __init__(self, kind: type):
+        self.held, self.size = np.zeros(4096, kind), 0
+
+    def add(self, more: np.ndarray) -> None:
+        if self.size + len(more) > len(self.held):
+            wider = np.zeros(max(2 * len(self.held), self.size + len(more)), self.held.dtype)
+            wider[: self.size] = self.held[: self.size]
+            self.held = wider
+        self.held[self.size : self.size + len(more)] = more
+        self.size += len(more)
 
 
 class Codec:
@@ -43,248 +52,114 @@ class Codec:
         self.model: PieceModel = piece_model(path)
         self.dropout, self.seed = dropout, seed
         self.limit = np.uint64(min(2**64 - 1, int(dropout * 2.0**64)))
-        ids = self.model.ids
-        self.table = [p.replace(SPACE, " ").encode("utf-8") for p in self.model.pieces]
+        spelt = [p.replace(SPACE, " ").encode("utf-8") for p in self.model.pieces]
         for b, i in enumerate(self.model.byte_ids):
-            self.table[i] = bytes([b])
-        self.letter = np.full(0x110000, -1, np.int32)
-        for piece, i in ids.items():
-            if len(piece) == 1:
-                self.letter[ord(piece)] = i
-        pairs = []
-        for piece, whole in ids.items():
-            for cut in range(1, len(piece)):
-                left, right = ids.get(piece[:cut]), ids.get(piece[cut:])
-                if left is not None and right is not None:
-                    pairs.append((left << 32 | right, whole))
-        self._hash_pairs(pairs)
-        #: Rank of each piece, the best score first.
-        self.rank = np.empty(len(self.model.pieces), np.int32)
-        order = sorted(range(len(self.model.pieces)), key=lambda i: -self.model.score.get(self.model.pieces[i], -1e9))
-        self.rank[order] = np.arange(len(order))
-        self._turns = _mix(np.arange(1, 4 * LONG + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+            spelt[i] = bytes([b])
+        self.spelt = pa.array(spelt, pa.large_binary())
         self._forget()
 
-    def _hash_pairs(self, pairs: list[tuple[int, int]]) -> None:
-        """An open hash table of all pairs of pieces whose join is a piece, at most half full."""
-        self.mask = (1 << (2 * len(pairs)).bit_length()) - 1
-        self.pair, self.whole = np.full(self.mask + 1, -1, np.int64), np.full(self.mask + 1, -1, np.int32)
-        keys = np.array([p for p, _ in pairs], np.int64)
-        wholes = np.array([w for _, w in pairs], np.int32)
-        slot = self._slot(keys)
-        left = np.arange(len(keys))
-        while len(left):
-            free = self.pair[slot[left]] < 0
-            first = left[free][np.unique(slot[left][free], return_index=True)[1]]
-            self.pair[slot[first]], self.whole[slot[first]] = keys[first], wholes[first]
-            left = left[self.pair[slot[left]] != keys[left]]
-            slot[left] = (slot[left] + 1) & self.mask
-
-    def _slot(self, keys: np.ndarray) -> np.ndarray:
-        return (_mix(keys.astype(np.uint64)) & np.uint64(self.mask)).astype(np.int64)
-
-    def _joined(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
-        """The piece that each pair makes, or -1."""
-        out = np.full(len(left), -1, np.int32)
-        todo = np.flatnonzero((left >= 0) & (right >= 0))
-        key = left[todo].astype(np.int64) << 32 | right[todo]
-        slot = self._slot(key)
-        while len(todo):
-            there = self.pair[slot]
-            hit = there == key
-            out[todo[hit]] = self.whole[slot[hit]]
-            more = ~hit & (there >= 0)
-            todo, key, slot = todo[more], key[more], (slot[more] + 1) & self.mask
-        return out
-
     def _forget(self) -> None:
-        """Node k is a unit and the turns at which it lost a candidate; children are keyed by node << 8 | turn."""
-        self.roots: dict[str, int] = {}
-        self.children: dict[int, int] = {}
+        """Node k is a unit and the turns at which it lost a candidate. Its child for turn t is at child_at[k] + t; -1: not made yet."""
+        self.roots: dict[bytes, int] = {}
+        self.seen: set[bytes] = set()
         self.nodes: list[tuple[str, tuple[int, ...]]] = []
-        self.pieces: list[bytes] = []
-        self.turns = np.zeros(0, np.int16)
-
-    def keys(self, document: int, n: int) -> np.ndarray:
-        """The keys of the first n units of a document."""
-        own = _mix(np.array([(document ^ self.seed * 0x9E3779B97F4A7C15) & _ALL], np.uint64) + np.uint64(1))
-        return _mix(own ^ _mix(np.arange(1, n + 1, dtype=np.uint64)))
-
-    def agenda(self, unit: str, key: int) -> bytes:
-        """Ids of one unit, with the agenda as a heap; for units of any length."""
-        ids, rank = self.model.ids, self.rank
-        parts: list[str | None] = list(unit)
-        before, after = list(range(-1, len(unit) - 1)), list(range(1, len(unit) + 1))
-        turns = self._turns if len(unit) <= LONG else _mix(np.arange(1, 4 * len(unit) + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
-        skipped = iter((_mix(np.uint64(key) ^ turns) < self.limit).tolist())
-        heap: list[tuple[int, int, str, str, int]] = []
-
-        def offer(lefts: list[int]) -> None:
-            pairs = [(i, after[i]) for i in lefts if i >= 0 and after[i] < len(parts) and parts[i] in ids and parts[after[i]] in ids]
-            pairs = [(i, j, w) for i, j in pairs if (w := ids.get(parts[i] + parts[j])) is not None]
-            for i, j, w in pairs:
-                heapq.heappush(heap, (int(rank[w]), i, parts[i], parts[j], j))
-
-        offer(list(range(len(parts) - 1)))
-        while heap:
-            _, i, left, right, j = heapq.heappop(heap)
-            if parts[i] != left or after[i] != j or parts[j] != right:
-                continue
-            if next(skipped):
-                continue
-            parts[i], parts[j], after[i] = left + right, None, after[j]
-            if after[i] < len(parts):
-                before[after[i]] = i
-            offer([before[i], i])
-        out: list[int] = []
-        for p in parts:
-            if p is not None:
-                out += [ids[p]] if p in ids else [self.model.byte_ids[b] for b in (SPACE if p == _LITERAL else p).encode("utf-8", "surrogatepass")]
-        return np.array(out, "<i4").tobytes()
-
-    def units(self, units: list[str], key: int) -> list[bytes]:
-        """Little-endian 32-bit ids of each unit under one key."""
-        return self._pieces(units, np.full(len(units), key, np.uint64))
-
-    def _pieces(self, units: list[str], keys: np.ndarray) -> list[bytes]:
-        """Ids of each unit under its key; long units are worked one by one, short ones along the tree of skipped candidates."""
-        out = [b""] * len(units)
-        sizes = np.fromiter(map(len, units), np.int64, len(units))
-        short = np.flatnonzero(sizes <= LONG)
-        for i in np.flatnonzero(sizes > LONG).tolist():
-            out[i] = self.agenda(units[i], int(keys[i]))
-        some = units if len(short) == len(units) else [units[i] for i in short.tolist()]
-        new = list({u for u in some if u not in self.roots})
-        first = len(self.nodes)
-        self._add([(u, ()) for u in new])
-        self.roots.update(zip(new, range(first, first + len(new)), strict=True))
-        node = np.fromiter(map(self.roots.__getitem__, some), np.int64, len(some))
-        live, turn = np.arange(len(some)) if self.limit else np.zeros(0, np.int64), 0
-        keys = keys[short]
-        while len(live := live[self.turns[node[live]] > turn]):
-            hit = live[_mix(keys[live] ^ self._turns[turn]) < self.limit]
-            branch = (node[hit] << 8 | turn).tolist()
-            missing = list({b for b in branch if b not in self.children})
-            first = len(self.nodes)
-            self._add([(u, (*skips, turn)) for u, skips in (self.nodes[b >> 8] for b in missing)])
-            self.children.update(zip(missing, range(first, first + len(missing)), strict=True))
-            node[hit] = np.fromiter(map(self.children.__getitem__, branch), np.int64, len(branch))
-            turn += 1
-        got = map(self.pieces.__getitem__, node.tolist())
-        if len(short) == len(units):
-            return list(got)
-        for i, g in zip(short.tolist(), got, strict=True):
-            out[i] = g
-        return out
+        self.pool, self.child = _Grown(np.int32), _Grown(np.int32)
+        self.starts, self.sizes, self.turns, self.child_at = _Grown(np.int64), _Grown(np.int64), _Grown(np.int16), _Grown(np.int64)
+
+    def keys(self, documents: np.ndarray, cuts: np.ndarray) -> np.ndarray:
+        """The key of each unit, by its document's number and its place there; cuts: the first unit of each document, with the end."""
+        own = mix((documents.astype(np.int64).view(np.uint64) ^ np.uint64(self.seed * 0x9E3779B97F4A7C15 & _ALL)) + np.uint64(1))
+        n = np.diff(cuts)
+        place = np.arange(len(n) and cuts[-1]) - np.repeat(cuts[:-1], n)
+        return mix(np.repeat(own, n) ^ mix(place.astype(np.uint64) + np.uint64(1)))
+
+    def skipped(self, key: np.ndarray, first: int, n: int) -> np.ndarray:
+        """Whether a unit under the key loses its candidate at each of n turns."""
+        return mix(key ^ mix(np.arange(first + 1, first + n + 1, dtype=np.uint64) * _TURN)) < self.limit
+
+    def _loses(self, keys: np.ndarray, turn: int) -> np.ndarray:
+        """Whether units lose their candidate at a turn."""
+        return mix(keys ^ mix(np.array([turn + 1], np.uint64) * _TURN)) < self.limit
+
+    def alone(self, unit: str, key: int) -> np.ndarray:
+        """Ids of one unit of any length, by a heap."""
+        return self.model.merger.one(unit, lambda first, n: self.skipped(np.uint64(key), first, n))
 
     def _add(self, nodes: list[tuple[str, tuple[int, ...]]]) -> None:
-        """New nodes of the tree, worked in groups of like length."""
-        if not nodes:
-            return
-        sizes = np.fromiter((len(u) for u, _ in nodes), np.int64, len(nodes))
-        order = np.argsort(sizes, kind="stable")
-        ascending, at = sizes[order], 0
-        pieces, turns = [b""] * len(nodes), np.zeros(len(nodes), np.int16)
-        while at < len(order):
-            size = int(ascending[at])
-            to = min(int(np.searchsorted(ascending, size + 1, side="right")), at + min(20_000, 400_000 // (size + 1)))
-            places = order[at:to].tolist()
-            got, turns[places] = self._group([nodes[i] for i in places])
-            for i, g in zip(places, got, strict=True):
-                pieces[i] = g
-            at = to
+        flat, sizes, turns = self.model.merger.many([u for u, _ in nodes], [t for _, t in nodes])
+        self.starts.add(self.pool.size + np.cumsum(sizes) - sizes)
+        self.sizes.add(sizes)
+        self.pool.add(flat)
+        self.turns.add(turns)
+        wide = turns.astype(np.int64)
+        self.child_at.add(self.child.size + np.cumsum(wide) - wide)
+        self.child.add(np.full(int(wide.sum()), -1, np.int32))
         self.nodes += nodes
-        self.pieces += pieces
-        self.turns = np.concatenate([self.turns, turns])
-
-    def _group(self, nodes: list[tuple[str, tuple[int, ...]]]) -> tuple[list[bytes], np.ndarray]:
-        """Ids of each unit without the candidates of the turns it skips, and how many turns it takes."""
-        units = [u for u, _ in nodes]
-        n, width = len(units), max(map(len, units))
-        skips = np.zeros((n, 1 + max((t[-1] for _, t in nodes if t), default=-1)), bool)
-        rows = [(r, t) for r, (_, ts) in enumerate(nodes) for t in ts]
-        if rows:
-            skips[tuple(np.array(rows).T)] = True
-        turns = np.zeros(n, np.int16)
-        # Symbols: a piece's id; below -1 a character outside the vocabulary, its code point negated less 2; -1 nothing.
-        sym = np.full((n, width + 2), -1, np.int32)
-        code = np.frombuffer("".join(units).encode("utf-32-le", "surrogatepass"), "<u4").astype(np.int32)
-        sym[:, :width][np.arange(width)[None, :] < np.fromiter(map(len, units), np.int64, n)[:, None]] = np.where(self.letter[code] >= 0, self.letter[code], -2 - code)
-        # A symbol stands at its first character; the one after it at after, which is also where it ends.
-        after = np.tile(np.arange(1, width + 3, dtype=np.int32), (n, 1))
-        before = np.tile(np.arange(-1, width + 1, dtype=np.int32), (n, 1))
-        none = np.int32(2**31 - 1)
-
-        def candidates(r: np.ndarray, c: np.ndarray) -> np.ndarray:
-            """Rank of the join of the symbol at c of rows r with the next; none where there is none."""
-            j = after[r, c]
-            whole = self._joined(sym[r, c], sym[r, np.minimum(j, width)])
-            out = np.full(len(r), none, np.int32)
-            at = np.flatnonzero(whole >= 0)
-            out[at] = self.rank[whole[at]]
-            return out
-
-        if width > 1:
-            r, c = np.divmod(np.arange(n * (width - 1)), width - 1)
-            agenda = np.full((n, width + 2), none, np.int32)
-            agenda[:, : width - 1] = candidates(r, c).reshape(n, width - 1)
-            live, turn = np.arange(n), 0
-            while len(live):
-                own = agenda if len(live) == n else agenda[live]
-                best = own.argmin(1)
-                more = own[np.arange(len(live)), best] < none
-                live, best = live[more], best[more]
-                turns[live] += 1
-                rest = live
-                if turn < skips.shape[1]:
-                    skip = skips[live, turn]
-                    agenda[live[skip], best[skip]] = none
-                    live, best = live[~skip], best[~skip]
-                turn += 1
-                j = after[live, best]
-                k = after[live, j]
-                sym[live, best] = self._joined(sym[live, best], sym[live, j])
-                sym[live, j], agenda[live, j] = -1, none
-                after[live, best], before[live, np.minimum(k, width + 1)] = k, best
-                agenda[live, best] = candidates(live, best)
-                p = before[live, best]
-                ok = p >= 0
-                agenda[live[ok], p[ok]] = candidates(live[ok], p[ok])
-                live = rest
-        filled = sym != -1
-        lengths = filled.sum(1)
-        flat = sym[filled]
-        if (flat < 0).any():
-            ends = np.cumsum(lengths).tolist()
-            out, at, values, byte_ids = [], 0, flat.tolist(), self.model.byte_ids
-            for end in ends:
-                row: list[int] = []
-                for v in values[at:end]:
-                    if v >= 0:
-                        row.append(v)
-                    else:
-                        c = chr(-2 - v)
-                        row += [byte_ids[b] for b in (SPACE if c == _LITERAL else c).encode("utf-8", "surrogatepass")]
-                out.append(np.array(row, "<i4").tobytes())
-                at = end
-            return out, turns
-        raw = flat.astype("<i4").tobytes()
-        cuts = [0, *(4 * np.cumsum(lengths)).tolist()]
-        return [raw[a:b] for a, b in zip(cuts, cuts[1:], strict=False)], turns
-
-    def encode(self, texts: list[str | None], documents: list[int]) -> list[bytes]:
-        """Ids of whole texts, each under its document's number; a null or empty text has none."""
-        if len(self.nodes) > MEMO:
-            self._forget()
-        split = [self.model.units(t.replace(SPACE, _LITERAL) if SPACE in t else t) for t in (text or "" for text in texts)]
-        keys = [self.keys(d, len(units)) for d, units in zip(documents, split, strict=True)]
-        flat = self._pieces([u for units in split for u in units], np.concatenate([np.zeros(0, np.uint64), *keys]))
-        cuts = np.cumsum([0, *map(len, split)]).tolist()
-        return [b"".join(flat[a:b]) for a, b in zip(cuts, cuts[1:], strict=False)]
 
-    def decode(self, ids: list[int]) -> str:
-        """The text of an encoding."""
-        return b"".join(map(self.table.__getitem__, ids))[1:].decode("utf-8", "surrogatepass")
+    def pieces(self, known: list[bytes], numbers: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all occurrences, how many each has); occurrence k is the unit known[numbers[k]] under keys[k]."""
+        if len(self.nodes) > NODES:
+            self._forget()
+        if len(self.seen) > NODES:
+            self.seen.clear()
+        text = lambda u: u.decode("utf-8", "surrogatepass").replace(" ", SPACE)
+        found = list(map(self.roots.get, known))
+        root, several = np.array([-1 if k is None else k for k in found], np.int64).reshape(len(known)), np.bincount(numbers, minlength=len(known)) > 1
+        for k in np.flatnonzero(root == -1).tolist():
+            u = known[k]
+            if len(u) > LONG and (len(u) > 4 * LONG or len(text(u)) > LONG):
+                root[k] = -3
+            elif not several[k] and u not in self.seen:  # it may never come again
+                self.seen.add(u)
+                root[k] = -2
+        new = np.flatnonzero(root == -1)
+        root[new] = np.arange(len(self.nodes), len(self.nodes) + len(new))
+        self.roots.update((known[k], int(root[k])) for k in new.tolist())
+        self._add([(text(known[k]), ()) for k in new.tolist()])
+        node = root[numbers]
+        live, turn, direct = np.flatnonzero(node >= 0) if self.limit else np.zeros(0, np.int64), 0, [np.flatnonzero(node == -2)]
+        while True:
+            live = live[self.turns.held[node[live]] > turn]
+            if not len(live):
+                break
+            hit = live[self._loses(keys[live], turn)]
+            place = self.child_at.held[node[hit]] + turn
+            after = self.child.held[place]
+            if (after < 0).any():
+                missing, at, times = np.unique(place[after < 0], return_index=True, return_counts=True)
+                parents, more = node[hit[after < 0][at]], times > 1
+                first = len(self.nodes)
+                self._add([(u, (*ts, turn)) for u, ts in map(self.nodes.__getitem__, parents[more].tolist())])
+                self.child.held[missing[more]] = np.arange(first, len(self.nodes))
+                after = self.child.held[place]
+                direct.append(hit[after < 0])
+            node[hit] = after
+            turn += 1
+            live = live[node[live] >= 0]
+        # What is met once is worked under its own key, without a node.
+        alone, long = np.concatenate(direct), np.flatnonzero(root[numbers] == -3)
+        lost = (lambda rows, turn: self._loses(keys[alone[rows]], turn)) if self.limit else None
+        flat, n, _ = self.model.merger.many([text(known[k]) for k in numbers[alone].tolist()], lost=lost)
+        made = [self.alone(text(known[numbers[k]]), int(keys[k])) for k in long.tolist()]
+        node[alone], node[long] = 0, 0
+        starts, sizes = self.starts.held[node], self.sizes.held[node]
+        sizes[alone], sizes[long] = n, [len(m) for m in made]
+        for some in (alone, long):
+            starts[some] = np.cumsum(sizes[some]) - sizes[some] + (self.pool.size if some is alone else self.pool.size + len(flat))
+        return units.spread(np.concatenate([self.pool.held[: self.pool.size], flat, *made]), starts, sizes), sizes
+
+    def encode(self, texts: pa.Array, documents: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts, where those of each begin, with the end), each text under its document's number; a null or empty text has none."""
+        whole = pc.replace_substring(pc.fill_null(texts.cast(pa.binary()), b""), SPACE.encode(), LITERAL.encode("utf-8", "surrogatepass"))
+        known, numbers, cuts = units.spaced_units(whole)
+        ids, sizes = self.pieces(known, numbers, self.keys(documents, cuts))
+        return ids, np.append(0, np.cumsum(sizes))[cuts]
+
+    def decode(self, ids: np.ndarray, cuts: np.ndarray) -> list[memoryview]:
+        """The UTF-8 text of each encoding."""
+        taken = self.spelt.take(pa.array(ids))
+        ends, data = np.frombuffer(taken.buffers()[1], np.int64)[cuts].tolist(), memoryview(taken.buffers()[2] or b"")
+        return [data[a + 1 : b] if b > a else data[:0] for a, b in zip(ends, ends[1:], strict=False)]  # without the space in front
 
 
 def codec(path: str, dropout: float, seed: int) -> Codec:
@@ -294,7 +169,7 @@ def codec(path: str, dropout: float, seed: int) -> Codec:
     return _codecs[key]
 
 
-def encode(docs: DataFrame, model_path: str, dropout: float = 0.1, seed: int = 0, id_col: str = "doc_id", text_col: str = "text", verify: bool = False, block: int = 512) -> DataFrame:
+def encode(docs: DataFrame, model_path: str, dropout: float = 0.1, seed: int = 0, id_col: str = "doc_id", text_col: str = "text", verify: bool = False) -> DataFrame:
     """(id, n_tokens, piece_ids) of every row, from its whole text.
 
     Candidates are skipped by seed, id and place in the text, so that equal words are encoded anew at each occurrence; rows
@@ -307,16 +182,11 @@ def encode(docs: DataFrame, model_path: str, dropout: float = 0.1, seed: int = 0
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = codec(model_path, dropout, seed)
         for batch in batches:
-            for at in range(0, batch.num_rows, block):
-                part = batch.slice(at, block)
-                got = c.encode(part.column(1).to_pylist(), part.column(2).to_pylist())
-                counts = np.array([len(g) // 4 for g in got], np.int64)
-                flat = pa.array(np.frombuffer(b"".join(got), "<i4"))
-                lists = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(counts)].astype(np.int32)), flat)
-                columns, names = [part.column(0), pa.array(counts), lists], [id_col, "n_tokens", "piece_ids"]
+            for at, texts in units.parts(batch.column(1)):
+                ids, cuts = c.encode(texts, batch.column(2).slice(at, len(texts)).to_numpy())
+                columns, names = [batch.column(0).slice(at, len(texts)), pa.array(np.diff(cuts)), pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(ids))], [id_col, "n_tokens", "piece_ids"]
                 if verify:
-                    back = (c.decode(np.frombuffer(g, "<i4").tolist()) for g in got)
-                    columns.append(pa.array([hashlib.sha256(t.encode("utf-8", "surrogatepass")).hexdigest() for t in back], pa.string()))
+                    columns.append(pa.array([hashlib.sha256(t).hexdigest() for t in c.decode(ids, cuts)], pa.string()))
                     names.append("decoded_sha256")
                 yield pa.RecordBatch.from_arrays(columns, names=names)
 
@@ -332,7 +202,10 @@ def decode(rows: DataFrame, model_path: str, ids_col: str = "piece_ids", to: str
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = codec(model_path, 0.0, 0)
         for batch in batches:
-            texts = [None if v is None else c.decode(v) for v in batch.column(ids_col).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], names=[*batch.schema.names, to])
+            lists = batch.column(ids_col)
+            n = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
+            texts = c.decode(lists.flatten().to_numpy(zero_copy_only=False).astype(np.int32), np.append(0, np.cumsum(n)))
+            found = [None if gone else str(t, "utf-8", "surrogatepass") for t, gone in zip(texts, lists.is_null().to_pylist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.string())], names=[*batch.schema.names, to])
 
     return bounded_batches(rows).mapInArrow(run, StructType([*rows.schema.fields, StructField(to, StringType())]))
