@@ -238,3 +238,17 @@ def test_similarity_run_counts(spark):
     assert (r.images, r.regions, r.formal, r.profiles, r.resolved, r.pair_count, r.topk_rows) == (3, 5, 4, 3, 2, 3, 6)
     assert {x.reason: x.row_count for x in similarity_run.reasons(seen).collect()} == {"region_type_not_formal": 1}
     assert similarity_run.topk(found).count() == 6
+
+
+def test_resizing():
+    rng = np.random.default_rng(2)
+    flat = np.full((300, 170, 3), 77, np.uint8)
+    assert (images.resized(flat, 32, 32) == 77).all() and images.resized(flat, 300, 170).tolist() == flat.tolist()
+    wide = rng.integers(0, 256, (64, 64), np.uint8)
+    weights = images._lanczos(64, 8)
+    assert weights.shape == (8, 64) and (abs(weights.sum(1) - 2**22) <= 64).all() and (weights < 0).any()
+    plain = np.clip(np.round(np.clip(np.round(wide @ (weights.T / 2**22)), 0, 255).T @ (weights.T / 2**22)).T, 0, 255)
+    assert abs(images.resized(wide, 8, 8).astype(int) - plain).max() <= 1
+    large = np.concatenate([np.full((600, 300, 3), (200, 30, 70), np.uint8), np.full((600, 300, 3), 250, np.uint8)], 1)
+    found = images.observed_color(large, "swatch")
+    assert found["status"] == "success" and found["color_hex"] == "#C81E46" and found["valid_pixel_count"] < 256 * 256
