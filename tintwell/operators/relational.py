@@ -33,8 +33,11 @@ def having_keys(df: DataFrame, keys: DataFrame, on: str) -> DataFrame:
 
 
 def exact_then_folded(left: DataFrame, right: DataFrame, left_path: str, right_path: str, right_id: str) -> DataFrame:
-    """left with matched id, method and confidence: the same path at 1.0, else a path that is the only one of its folded form at 0.99 (J-14)."""
-    exact = right.select(F.col(right_path).alias("_exact"), F.col(right_id).alias("_exact_id"))
+    """left, row for row, with matched id, method and confidence: the same path at 1.0, else a path that is the only one of its folded form at 0.99 (J-14).
+
+    Where several rows of right have the path, the smallest id counts. Folding is to lower case.
+    """
+    exact = right.groupBy(F.col(right_path).alias("_exact")).agg(F.min(right_id).alias("_exact_id"))
     folded = right.groupBy(F.lower(right_path).alias("_folded")).agg(F.count(F.lit(1)).alias("_n"), F.min(right_id).alias("_folded_id")).where("_n = 1")
     both = left.join(exact, F.col(left_path) == F.col("_exact"), "left").join(folded, F.lower(left_path) == F.col("_folded"), "left")
     method = F.when(F.col("_exact_id").isNotNull(), "downloader_exact_path").when(F.col("_folded_id").isNotNull(), "downloader_casefold_path").otherwise("unmatched")
@@ -42,6 +45,15 @@ def exact_then_folded(left: DataFrame, right: DataFrame, left_path: str, right_p
     return both.select(*left.columns, F.coalesce("_exact_id", "_folded_id").alias("matched_id"), method.alias("match_method"), confidence.alias("match_confidence"))
 
 
+def path_then_digest(left: DataFrame, right: DataFrame, path: str, digest: str, order: str, value: str) -> DataFrame:
+    """left with the value of right's last row of the same path, else of its first row of the same digest, by right's order column (J-15)."""
+    by_path = right.groupBy(F.col(path).alias("_path")).agg(F.max_by(F.struct(F.col(value).alias("v")), order).alias("_by_path"))
+    by_digest = right.groupBy(F.col(digest).alias("_digest")).agg(F.min_by(F.struct(F.col(value).alias("v")), order).alias("_by_digest"))
+    both = left.join(by_path, F.col(path) == F.col("_path"), "left").join(by_digest, F.col(digest) == F.col("_digest"), "left")
+    method = F.when(F.col("_by_path").isNotNull(), "path").when(F.col("_by_digest").isNotNull(), "digest").otherwise("none")
+    return both.select(*left.columns, F.coalesce("_by_path", "_by_digest")["v"].alias(value), method.alias("match_method"))
+
+
 def insert_if_absent(existing: DataFrame, new: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """existing, and of new the first row by order of each key that existing lacks (DML-1)."""
     place = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tintwell.functions.ids import hash_percent, split_name, stable_rank
 from tintwell.operators.ranking import numbered
+from tintwell.operators.scratch import staged
 
 
 def _quota(column: str, quotas: Mapping[str, int]):
@@ -28,22 +29,23 @@ def by_quota(df: DataFrame, key: str, stratum: str, quotas: Mapping[str, int], s
         ranked = ranked.join(carried.select(key), key, "left_anti").join(F.broadcast(counts), stratum, "left")  # one row for each stratum
         quota = quota - F.coalesce("_held", F.lit(0))
     place = F.row_number().over(Window.partitionBy(stratum).orderBy("_hash", key))
-    taken = ranked.withColumn("_place", place).where(F.col("_place") <= quota).select(*df.columns)
+    # The literal lets each task drop rows beyond the largest quota before the exchange.
+    taken = ranked.withColumn("_place", place).where(F.col("_place") <= max(quotas.values(), default=0)).where(F.col("_place") <= quota).select(*df.columns)
     return taken if carried is None else taken.unionByName(held)
 
 
 def sequential_quota(df: DataFrame, key: str, tags: str, quotas: Mapping[str, int], target: int, seed: int | str) -> DataFrame:
     """Strata of an array of tags in the order of quotas, each row once, then the rest in hash order up to target (O-5).
 
-    A handful of small steps: each takes a bounded number of rows, so what is selected so far is a broadcast of at most
-    target keys.
+    Each step takes a bounded number of rows and is written, so none is worked again for a later one, and what is
+    selected so far is a broadcast of at most target keys.
     """
     taken = None
     for tag, n in quotas.items():
         pool = df.where(F.array_contains(tags, tag))
         if taken is not None:
             pool = pool.join(F.broadcast(taken.select(key)), key, "left_anti")
-        some = pool.orderBy(stable_rank(seed, tag, F.col(key)), key).limit(n).withColumn("stratum", F.lit(tag))
+        some = staged(pool.orderBy(stable_rank(seed, tag, F.col(key)), key).limit(n).withColumn("stratum", F.lit(tag)), "stratum")
         taken = some if taken is None else taken.unionByName(some)
     rest = df if taken is None else df.join(F.broadcast(taken.select(key)), key, "left_anti")
     more = rest.orderBy(stable_rank(seed, "fill", F.col(key)), key).withColumn("stratum", F.lit("fill"))
@@ -63,7 +65,8 @@ def with_split_caps(df: DataFrame, key: str, strata: Mapping[str, int], stratum:
     for name, quota in strata.items():
         pool = df.where(F.col(stratum) == name).withColumn("_hash", stable_rank(seed, name, F.col(key)))
         within = F.row_number().over(Window.partitionBy(split).orderBy("_hash", key))
-        some = pool.withColumn("_n", within).where(F.col("_n") <= _quota(split, left)).orderBy("_hash", key).limit(quota).select(*df.columns)
+        few = pool.withColumn("_n", within).where(F.col("_n") <= max(left.values(), default=0)).where(F.col("_n") <= _quota(split, left))
+        some = staged(few.orderBy("_hash", key).limit(quota).select(*df.columns), "stratum")
         for row in some.groupBy(split).count().collect():  # one row for each split
             left[row[0]] -= row[1]
         parts.append(some)

@@ -9,7 +9,9 @@ import sysconfig
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Iterator
 from pathlib import Path
+from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -18,6 +20,7 @@ BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
 _own_root: str | None = None
 _shipped: set[str] = set()
 _homes: set[str] = set()
+_scopes: list[list[DataFrame]] = []
 
 
 def root(spark: SparkSession) -> str:
@@ -42,37 +45,95 @@ def _remove_own() -> None:
 
 def staged(df: DataFrame, label: str) -> DataFrame:
     """Write df as Parquet in the shared folder and read it back; shuffle files of the write are dropped at once."""
-    spark = df.sparkSession
+    spark, path = df.sparkSession, _place(df.sparkSession, label)
+    with _shuffles_dropped(spark):
+        df.write.parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._tintwell_path = path
+    return _held(out)
+
+
+def _place(spark: SparkSession, label: str) -> str:
+    """A new path in the application's folder, which is removed at the interpreter's end, even if the session has ended."""
     home = f"{root(spark)}/{spark.sparkContext.applicationId}"
-    path = f"{home}/{label}-{uuid.uuid4().hex}"
     if home not in _homes:
         _homes.add(home)
-        atexit.register(_remove, spark, home)
+        atexit.register(_remove, *_files(spark), home)
+    return f"{home}/{label}-{uuid.uuid4().hex}"
+
+
+def folder(spark: SparkSession, label: str) -> str:
+    """A new path for files that are written and read again, removed with the application's other ones."""
+    return _place(spark, label)
+
+
+@contextlib.contextmanager
+def _shuffles_dropped(spark: SparkSession) -> Iterator[None]:
     before = spark.conf.get(CLEANUP, None)
     with contextlib.suppress(Exception):
         spark.conf.set(CLEANUP, "true")
     try:
-        df.write.parquet(path)
+        yield
     finally:
         with contextlib.suppress(Exception):
             spark.conf.unset(CLEANUP) if before is None else spark.conf.set(CLEANUP, before)
-    out = spark.read.schema(df.schema).parquet(path)
-    out._tintwell_path = path
-    return out
+
+
+def _held(table: DataFrame) -> DataFrame:
+    for tables in _scopes:
+        tables.append(table)
+    return table
+
+
+def bucketed(df: DataFrame, key: str, label: str) -> DataFrame:
+    """df written once in buckets by a column, so that later joins on it move the other side alone.
+
+    There are about as many buckets as the size of df has splits, or as a shuffle has partitions where that is not known, and
+    as many as cores at least. The table lies beside the
+    staged ones and is known to the session's catalog until it is dropped.
+    """
+    spark = df.sparkSession
+    split = int(spark.conf.get("spark.sql.files.maxPartitionBytes").rstrip("b"))
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    wanted = -(-size // split) if size < 1 << 60 else int(spark.conf.get("spark.sql.shuffle.partitions"))  # rows of the session have no known size
+    n = min(int(spark.conf.get("spark.sql.sources.bucketing.maxBuckets")), max(spark.sparkContext.defaultParallelism, wanted))
+    path, name = _place(spark, label), f"tintwell_{uuid.uuid4().hex}"
+    with _shuffles_dropped(spark):
+        df.repartition(n, key).write.format("parquet").bucketBy(n, key).option("path", path).saveAsTable(name)
+    out = spark.table(name)
+    out._tintwell_path, out._tintwell_table = path, name
+    return _held(out)
+
+
+@contextlib.contextmanager
+def scope() -> Iterator[list[DataFrame]]:
+    """The tables that staged() writes meanwhile, so that whoever knows that they are read no more can drop() them."""
+    held: list[DataFrame] = []
+    _scopes.append(held)
+    try:
+        yield held
+    finally:
+        _scopes.remove(held)
 
 
 def drop(df: DataFrame) -> None:
     """Delete a table that staged() wrote and that no later frame reads."""
     path = getattr(df, "_tintwell_path", None)
     if path:
-        _remove(df.sparkSession, path)
+        if hasattr(df, "_tintwell_table"):
+            df.sparkSession.sql(f"DROP TABLE IF EXISTS {df._tintwell_table}")
+        _remove(*_files(df.sparkSession), path)
+
+
+def _files(spark: SparkSession) -> tuple[Any, Any]:
+    return spark.sparkContext._jvm.org.apache.hadoop.fs.Path, spark.sparkContext._jsc.hadoopConfiguration()
 
 
-def _remove(spark: SparkSession, path: str) -> None:
-    """Delete a folder; at the interpreter's end the session may be gone already, and its tables with it."""
+def _remove(kind: Any, conf: Any, path: str) -> None:
+    """Delete a folder, if it is still there."""
     with contextlib.suppress(Exception):
-        p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-        p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+        p = kind(path)
+        p.getFileSystem(conf).delete(p, True)
 
 
 def bounded_batches(df: DataFrame, size: str = "4m") -> DataFrame:

@@ -67,13 +67,22 @@ def exact_then_folded_match(spark: SparkSession, d: str) -> DataFrame:
     """J-14: files against references by path, then by folded path; the two sides differ in case and in what is missing."""
     pages = table(spark, d, "pages").select("page_id", "url")
     files = pages.where("page_id % 7 <> 0").select("page_id", F.when(F.col("page_id") % 3 == 0, F.upper("url")).otherwise(F.col("url")).alias("path"))
-    refs = pages.where("page_id % 5 <> 0").groupBy(F.col("url").alias("ref_path")).agg(F.min("page_id").alias("ref_id"), F.count(F.lit(1)).alias("n"))
-    # Refs of one path are one row for the exact match and still several for the folded one.
-    every = refs.select("ref_path", "ref_id", F.explode(F.sequence(F.lit(1), F.col("n").cast("int"))).alias("k"))
-    folded = every.groupBy(F.lower("ref_path").alias("f")).agg(F.count(F.lit(1)).alias("n"), F.min("ref_id").alias("fid")).where("n = 1").drop("n")
-    both = files.join(refs.select(F.col("ref_path").alias("path"), F.col("ref_id").alias("eid")), "path", "left").join(folded, F.lower("path") == F.col("f"), "left")
-    method = F.when(F.col("eid").isNotNull(), "downloader_exact_path").when(F.col("fid").isNotNull(), "downloader_casefold_path").otherwise("unmatched")
-    return both.select("page_id", F.coalesce("eid", "fid").alias("matched_id"), method.alias("match_method"), F.when(F.col("eid").isNotNull(), 1.0).when(F.col("fid").isNotNull(), 0.99).alias("match_confidence"))
+    refs = pages.where("page_id % 5 <> 0").select(F.col("url").alias("ref_path"), F.col("page_id").alias("ref_id"))
+    return relational.exact_then_folded(files, refs, "path", "ref_path", "ref_id").drop("path")
+
+
+@query("""
+WITH b AS (SELECT page_id, url, sha256(html) AS digest, page_id % 11 AS class FROM pages WHERE page_id % 3 <> 0),
+     a AS (SELECT page_id, CASE WHEN page_id % 4 = 0 THEN 'moved/' || url ELSE url END AS url, sha256(html) AS digest FROM pages),
+     p AS (SELECT url, arg_max(class, page_id) AS class FROM b GROUP BY 1), h AS (SELECT digest, arg_min(class, page_id) AS class FROM b GROUP BY 1)
+SELECT a.page_id, coalesce(p.class, h.class) AS class, CASE WHEN p.url IS NOT NULL THEN 'path' WHEN h.digest IS NOT NULL THEN 'digest' ELSE 'none' END AS match_method
+FROM a LEFT JOIN p ON a.url = p.url LEFT JOIN h ON a.digest = h.digest""")
+def path_then_digest_match(spark: SparkSession, d: str) -> DataFrame:
+    """J-15: files that were moved find their earlier metadata by content."""
+    pages = table(spark, d, "pages").select("page_id", "url", F.sha2("html", 256).alias("digest"))
+    earlier = pages.where("page_id % 3 <> 0").withColumn("class", F.col("page_id") % 11)
+    now = pages.withColumn("url", F.when(F.col("page_id") % 4 == 0, F.concat(F.lit("moved/"), "url")).otherwise(F.col("url")))
+    return relational.path_then_digest(now, earlier, "url", "digest", "page_id", "class").select("page_id", "class", "match_method")
 
 
 @query("""
