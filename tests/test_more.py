@@ -1,3 +1,4 @@
+import datetime
 import hashlib
 import json
 
@@ -72,3 +73,22 @@ def test_upserts(spark):
     assert sorted(map(tuple, relational.replace_by_key(old, new, ["k"]).collect())) == [(1, "a"), (2, "z"), (3, "c"), (3, "d")]
     matched = relational.exact_then_folded(spark.createDataFrame([("A/b",), ("a/B",), ("x",)], "p string"), spark.createDataFrame([("A/b", "1"), ("c", "2")], "path string, id string"), "p", "path", "id")
     assert {r.p: (r.matched_id, r.match_confidence) for r in matched.collect()} == {"A/b": ("1", 1.0), "a/B": ("1", 0.99), "x": (None, None)}
+
+
+def test_exactly_one_selector(spark):
+    df = spark.createDataFrame([(1, "a/x"), (2, "b/y")], "k int, p string")
+    for how in ({}, {"one": 1, "limit": 2}):
+        with pytest.raises(ValueError, match="exactly one"):
+            relational.selected(df, "k", "p", **how)
+    assert [r.k for r in relational.selected(df, "k", "p", folder="b").collect()] == [2]
+
+
+def test_utc_now(spark):
+    seen = datetime.datetime.fromisoformat(spark.range(1).select(ids.utc_now()).first()[0])
+    assert abs((datetime.datetime.now(datetime.UTC) - seen).total_seconds()) < 120
+
+
+def test_a_repeated_path_matches_once(spark):
+    left = spark.createDataFrame([("A/b",)], "p string")
+    right = spark.createDataFrame([("A/b", "2"), ("A/b", "1")], "path string, id string")
+    assert [tuple(r) for r in relational.exact_then_folded(left, right, "p", "path", "id").collect()] == [("A/b", "1", "downloader_exact_path", 1.0)]

@@ -54,3 +54,8 @@ def cache_key(**fields: Column) -> Column:
 def path_image_id(sha256: Column, path: Column) -> Column:
     """The first 16 digits of the content's digest and the first 10 of its path's SHA-1."""
     return F.concat_ws("-", F.substring(sha256, 1, 16), F.substring(F.sha1(path.cast("binary")), 1, 10))
+
+
+def utc_now() -> Column:
+    """The time at which the query began, in UTC, as 2024-01-02T03:04:05.678901+00:00 (M-1)."""
+    return F.concat(F.date_format(F.convert_timezone(F.current_timezone(), F.lit("UTC"), F.current_timestamp().cast("timestamp_ntz")), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.lit("+00:00"))

@@ -32,6 +32,28 @@ def having_keys(df: DataFrame, keys: DataFrame, on: str) -> DataFrame:
     return df.join(keys.select(on), on, "left_semi")
 
 
+def narrowed(df: DataFrame, **wanted: object) -> DataFrame:
+    """Rows that have every wanted value that is given: a list is any of its values, None asks for nothing (P-9)."""
+    for name, value in wanted.items():
+        if value is not None:
+            df = df.where(F.col(name).isin(*value) if isinstance(value, (list, tuple, set)) else F.col(name) == value)
+    return df
+
+
+def selected(df: DataFrame, key: str, path: str, one: object = None, listed: DataFrame | None = None, folder: str | None = None, limit: int | None = None) -> DataFrame:
+    """The rows that exactly one selector names: a key, a list of keys, a folder of the path, or a number of first rows by path (P-10)."""
+    given = [s for s in (one, listed, folder, limit) if s is not None]
+    if len(given) != 1:
+        raise ValueError(f"exactly one selector is needed, not {len(given)}")
+    if one is not None:
+        return df.where(F.col(key) == F.lit(one))
+    if listed is not None:
+        return having_keys(df, listed, key)
+    if folder is not None:
+        return df.where(F.startswith(F.col(path), F.lit(folder.rstrip("/") + "/")))
+    return df.orderBy(F.lower(path), path, key).limit(limit)
+
+
 def exact_then_folded(left: DataFrame, right: DataFrame, left_path: str, right_path: str, right_id: str) -> DataFrame:
     """left, row for row, with matched id, method and confidence: the same path at 1.0, else a path that is the only one of its folded form at 0.99 (J-14).
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tintwell.functions import geometry, ids, text
-from tintwell.operators import checks, entities
+from tintwell.operators import checks, entities, relational
 from tintwell.operators.ranking import numbered
 from tintwell.operators.scratch import folder
 from tintwell.plans.registry import query, table
@@ -252,3 +252,23 @@ def reasons_of_exclusion(spark: SparkSession, d: str) -> DataFrame:
     kind = lambda hit, good, bad: F.when(hit, bad).otherwise(good)
     reasons = entities.exclusion_reasons(s % 7 == 0, tokens, direct, F.when(s % 11 == 0, "color_problem"), kind(s % 2 == 0, "succeeded", "failed"), kind(s % 5 == 0, "image_observed_color_candidate", "other"), kind(k % 5 == 0, "swatch", "lip"), kind(k % 6 == 0, "high", "low"), F.when(k % 7 != 0, 0.9))
     return table(spark, d, "part").select("p_partkey", reasons.alias("reasons"))
+
+
+@query("SELECT doc_id, lang, source FROM documents WHERE lang = 'en' AND source IN (SELECT source FROM documents GROUP BY 1 ORDER BY count(*) DESC, source LIMIT 2)")
+def rows_narrowed(spark: SparkSession, d: str) -> DataFrame:
+    """P-9: predicates that are there only if they are asked for."""
+    docs = table(spark, d, "documents").select("doc_id", "lang", "source")
+    top = [r.source for r in docs.groupBy("source").count().orderBy(F.desc("count"), "source").limit(2).collect()]
+    return relational.narrowed(docs, lang="en", source=top, doc_id=None)
+
+
+@query("""
+SELECT 'folder' AS selector, page_id FROM pages WHERE starts_with(url, 'http://therwh.example.org/') UNION ALL SELECT 'key', page_id FROM pages WHERE page_id = 7
+UNION ALL SELECT 'list', page_id FROM pages WHERE page_id IN (SELECT o_orderkey FROM orders) UNION ALL (SELECT 'first', page_id FROM pages ORDER BY lower(url), url, page_id LIMIT 5)""")
+def rows_selected(spark: SparkSession, d: str) -> DataFrame:
+    """P-10: each of the selectors of which exactly one is to be given."""
+    pages = table(spark, d, "pages").select("page_id", "url")
+    listed = table(spark, d, "orders").select(F.col("o_orderkey").alias("page_id"))
+    by = {"folder": {"folder": "http://therwh.example.org"}, "key": {"one": 7}, "list": {"listed": listed}, "first": {"limit": 5}}
+    parts = [relational.selected(pages, "page_id", "url", **how).select(F.lit(name).alias("selector"), "page_id") for name, how in by.items()]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(parts[3])
