@@ -30,12 +30,54 @@ def test_planted_near_copies_go(spark):
     assert kept == set(texts) - near
 
 
+def _roots(nodes, pairs):
+    root = {n: n for n in nodes}
+
+    def find(x):
+        while root[x] != x:
+            root[x] = root[root[x]]
+            x = root[x]
+        return x
+
+    for u, v in pairs:
+        root[max(find(u), find(v))] = min(find(u), find(v))
+    return {n: find(n) for n in nodes}
+
+
+def _brute(rows, least=0.8):
+    sets = {i: set(jaccard.shingles(t).tolist()) for i, t in rows}
+    return [(i, j) for i in sets for j in sets if i < j and sets[i] and len(sets[i] & sets[j]) >= least * len(sets[i] | sets[j])]
+
+
 def test_links_equal_brute_force(spark, sf_dir):
     rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").collect()]
-    sets = {i: set(jaccard.shingles(t).tolist()) for i, t in rows}
-    found = {frozenset((r.u, r.v)) for r in jaccard.links(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
-    want = {frozenset((i, j)) for i in sets for j in sets if i < j and sets[i] and len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])}
-    assert {i for pair in found for i in pair} == {i for pair in want for i in pair} and found <= want
+    found = [(r.u, r.v) for r in jaccard.links(spark.createDataFrame(rows, "doc_id long, text string")).collect()]
+    want = _brute(rows)
+    ids = [i for i, _ in rows]
+    assert {frozenset(p) for p in found} <= {frozenset(p) for p in want} and _roots(ids, found) == _roots(ids, want)
+
+
+def test_a_large_group_of_unlike_copies(spark):
+    """Copies of one text that differ so much that many are far from it and near to some other copy only."""
+    rng = random.Random(9)
+    base = [f"b{k}" for k in range(150)]
+    texts = [base]
+    while len(texts) < 260:
+        words = list(rng.choice(texts[:40] if rng.random() < 0.7 else texts))
+        for _ in range(rng.choice((1, 1, 2, 3, 5))):
+            words[rng.randrange(len(words))] = f"x{rng.randrange(10**6)}"
+        texts.append(words)
+    rows = [(k, " ".join(w)) for k, w in enumerate(texts)]
+    want = _roots(range(260), _brute(rows))
+    for bucket in (4, 32):
+        found = [(r.u, r.v) for r in jaccard.links(spark.createDataFrame(rows, "doc_id long, text string"), bucket=bucket).collect()]
+        assert _roots(range(260), found) == want and len(found) < 260 * 12
+
+
+def test_blocks_tell_one_link_to_a_component():
+    row = lambda mark, root, keys: {"mark": mark, "root": root, "keys": keys}
+    held = [row(1, 1, [*range(10)]), row(2, 1, [*range(10)]), row(3, 3, [*range(9), 50]), row(4, 4, [*range(40, 50)]), row(5, 9, [*range(10)])]
+    assert jaccard.compare_blocks([row(9, 9, [*range(10)])], held, 0.8) == [(9, 1), (9, 3)]
 
 
 def test_links_of_crowded_bands(spark):
