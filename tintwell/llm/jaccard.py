@@ -52,17 +52,21 @@ def _mark(hashes: np.ndarray) -> int:
 
 
 def _sketches(docs: DataFrame, id_col: str, text_col: str, width: int, whole: bool) -> DataFrame:
-    """(id, mark, keys) of every row with words: a digest of the shingle set, and its bands or, with whole, the set itself."""
+    """(id, mark, keys) of every row with words: a digest of the shingle set, and its bands or, with whole, the set itself.
+
+    The set is one of 32-bit hashes: of n shingles about n * n / 2**33 fall on another one, too few to move a similarity.
+    """
+    kind_of = pa.int32() if whole else pa.int64()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sets = [shingles(t.as_py(), width) for t in batch.column(1)]
-            keys = [s.view(np.int64) if whole else bands(s) if len(s) else [] for s in sets]
+            keys = [np.unique(s >> np.uint64(32)).astype(np.uint32).view(np.int32) if whole else bands(s) if len(s) else [] for s in sets]
             marks = pa.array([_mark(s) if len(s) else None for s in sets], pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column(0), marks, pa.array(keys, pa.list_(pa.int64()))], names=[id_col, "mark", "keys"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), marks, pa.array(keys, pa.list_(kind_of))], names=[id_col, "mark", "keys"])
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return bounded_batches(docs.select(id_col, text_col)).mapInArrow(run, f"`{id_col}` {kind}, mark bigint, keys array<bigint>").where("mark is not null")
+    return bounded_batches(docs.select(id_col, text_col)).mapInArrow(run, f"`{id_col}` {kind}, mark bigint, keys array<{'int' if whole else 'bigint'}>").where("mark is not null")
 
 
 def _paired(a: DataFrame, b: DataFrame, on: str) -> DataFrame:
@@ -139,9 +143,13 @@ def links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width
     """
     rows = staged(_sketches(docs, id_col, text_col, width, False).where(F.col(id_col).isNotNull()), "sketches")
     each = staged(rows.groupBy("mark").agg(F.min(id_col).alias("id"), F.first("keys").alias("keys"), F.count(F.lit(1)).alias("n")), "sets")
+    same = rows.select(id_col, "mark").join(each.where("n > 1").select("mark", "id"), "mark").where(F.col(id_col) != F.col("id"))
+    equal = staged(same.select(F.col(id_col).alias("u"), F.col("id").alias("v")), "equal")
+    drop(rows)
     dealt = each.select("mark", F.explode("keys").alias("key"))
     shared = staged(dealt.join(dealt.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "key"), "bands")
-    wanted = shared.select("mark").distinct().join(each.select("mark", "id"), "mark")
+    wanted = staged(shared.select("mark").distinct().join(each.select("mark", "id"), "mark"), "wanted")
+    drop(each)
     texts = docs.select(F.col(id_col).alias("id"), text_col).join(wanted.select("id"), "id", "left_semi")
     full = _sketches(texts, "id", text_col, width, True).join(wanted, ["id", "mark"]).groupBy("mark").agg(F.first("keys").alias("keys"))
     full = staged(full, "shingles")
@@ -151,6 +159,7 @@ def links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width
     starred = staged(crowd.join(pivots, "key").where("mark <> pivot").select("mark", "pivot").distinct(), "pivots")
     near = staged(_verified(starred.select(F.col("mark").alias("u"), F.col("pivot").alias("v")), full, least), "near-pivots")
     few = staged(_rooted(shared.where(f"n <= {bucket}").select("mark", "key"), near), "small-bands")
+    drop(shared)
     mixed = few.groupBy("key").agg(F.min("root").alias("a"), F.max("root").alias("b")).where("a <> b").select("key")
     few = few.join(mixed, "key")
     near = staged(near.unionByName(_verified(_paired(few, few, "key"), full, least)), "near")
@@ -158,7 +167,6 @@ def links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width
     groups = components(starred.select(F.col("mark").alias("u"), F.col("pivot").alias("v"))).select(F.col("node").alias("mark"), F.col("root").alias("group"))
     near = staged(near.unionByName(_blocks(_rooted(groups, near), full, least)), "all-near")
     drop(full)
-    ids = each.select("mark", "id")
+    ids = wanted
     named = near.join(ids.withColumnRenamed("mark", "u").withColumnRenamed("id", "id_u"), "u").join(ids.withColumnRenamed("mark", "v").withColumnRenamed("id", "id_v"), "v")
-    equal = rows.join(each.where("n > 1").select("mark", "id"), "mark").where(F.col(id_col) != F.col("id")).select(F.col(id_col).alias("u"), F.col("id").alias("v"))
     return named.select(F.col("id_u").alias("u"), F.col("id_v").alias("v")).unionByName(equal)
