@@ -106,6 +106,7 @@ def _unmixed(like: str, value: int) -> str:
     return "".join(reversed(out))
 
 
+_SMALL = {c: c + 32 for c in range(65, 91)}
 FIRST_DAY, DAYS = datetime.date(1900, 1, 1).toordinal(), datetime.date(2100, 1, 1).toordinal() - datetime.date(1900, 1, 1).toordinal()
 
 # The forms that are looked for, most specific first.
@@ -152,10 +153,12 @@ class Pseudonymiser:
     def value(self, kind: str, text: str, back: bool = False) -> str | None:
         """The pseudonym of a value, or with back the value of a pseudonym; None if it is not a valid one of its kind."""
         digits = re.sub(r"\D", "", text)
-        if kind == "email":
+        if kind == "email":  # one value in small and large letters; the pseudonym has the case of what it stands for
             local, _, domain = text.partition("@")
-            x, n = _mixed(local)
-            return f"{_unmixed(local, self.by.permute(kind, x, n, back=back))}@{domain}"
+            small = local.translate(_SMALL)
+            x, n = _mixed(small)
+            new = _unmixed(small, self.by.permute(kind, x, n, back=back))
+            return f"{''.join(c.upper() if 'A' <= o <= 'Z' else c for c, o in zip(new, local, strict=True))}@{domain}"
         if kind == "iban":
             packed = text.replace(" ", "")
             country, account = packed[:2], packed[4:]
@@ -171,15 +174,16 @@ class Pseudonymiser:
                 return None
             x = self.by.permute(kind, int.from_bytes(bytes(octets), "big"), 1 << 32, back=back)
             return ".".join(map(str, x.to_bytes(4, "big")))
-        if kind == "date":
+        if kind == "date":  # one value in all forms; with its day kept beyond 12, or up to it, it can be read in any of them
             for form in ("%Y-%m-%d", "%m/%d/%Y", "%d/%m/%Y", "%d.%m.%Y"):
                 try:
-                    day = datetime.datetime.strptime(text, form).date().toordinal() - FIRST_DAY
+                    day = datetime.datetime.strptime(text, form).date()
                 except ValueError:
                     continue
-                if 0 <= day < DAYS:
-                    readable = (lambda _: True) if form != "%d/%m/%Y" else (lambda d: datetime.date.fromordinal(FIRST_DAY + d).day > 12)
-                    return datetime.date.fromordinal(FIRST_DAY + self.by.permute(kind + form, day, DAYS, readable, back)).strftime(form)
+                x = day.toordinal() - FIRST_DAY
+                if 0 <= x < DAYS:
+                    like = lambda d: (datetime.date.fromordinal(FIRST_DAY + d).day > 12) == (day.day > 12)  # noqa: B023, E731
+                    return datetime.date.fromordinal(FIRST_DAY + self.by.permute(kind, x, DAYS, like, back)).strftime(form)
             return None
         if kind == "ssn":
             good = lambda x: (s := f"{x:09d}")[:3] not in ("000", "666") and s[0] != "9" and s[3:5] != "00" and s[5:] != "0000"
@@ -192,10 +196,9 @@ class Pseudonymiser:
         if kind == "phone":
             if not 7 <= len(digits) <= 15:
                 return None
-            code = m[0] if (m := re.match(r"\+\d{1,3}(?=[ .(-])", text)) else ""
-            rest = text[len(code) :]
-            own = re.sub(r"\D", "", rest)
-            return code + _refill(rest, f"{self.by.permute(kind, int(own), 10 ** len(own), back=back):0{len(own)}d}")
+            high = 10 ** (len(digits) - 1)
+            like = lambda x: (x >= high) == (digits[0] != "0")
+            return _refill(text, f"{self.by.permute(kind + '+' * (text[0] == '+'), int(digits), 10 * high, like, back):0{len(digits)}d}")
         raise ValueError(kind)
 
     def _known(self, kind: str, text: str) -> str | None:
@@ -258,7 +261,8 @@ def pseudonymise(docs: DataFrame, key: bytes, text_col: str = "text") -> DataFra
 
     Looks for e-mail and IPv4 addresses, IBANs (mod 97), card numbers (Luhn), US social security numbers, telephone
     numbers and dates from 1900 to 2099, in whole texts. Documents without any come back unchanged; a null text stays
-    null. Dates with slashes are read month first where that is possible. A column of docs named pii is replaced. Rows
+    null. Equal values have one pseudonym however they are spelt: dates in all forms, addresses in small and large letters,
+    numbers with whatever stands between their digits. Dates with slashes are read month first where that is possible. A column of docs named pii is replaced. Rows
     stay where they are; nothing is shuffled.
     """
     docs = docs.drop(*(c for c in docs.columns if c.lower() == "pii"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import secrets
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -9,8 +11,14 @@ from pyspark.sql import functions as F
 from tintwell.llm import ann, exact_dedup, langid, packing, piece_codec, pii, quality, sampling, simhash, substring, token_counts
 
 WORD_BPE, PIECE_BPE = "word_bpe_49k.json", "piece_bpe_32k.model"
-#: The key of the registered query; a deployment passes its own secret to pii.pseudonymise.
-PII_KEY = b"tintwell registered query"
+PII_KEY = "spark.tintwell.pii.key"
+
+
+def pii_key(spark: SparkSession) -> bytes:
+    """The secret of the session, from its setting PII_KEY. Without one, a session draws its own, and nobody can read pseudonyms back after it."""
+    if not spark.conf.get(PII_KEY, None):
+        spark.conf.set(PII_KEY, secrets.token_hex(32))
+    return spark.conf.get(PII_KEY).encode()
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -38,7 +46,7 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every row of documents with its personal data under pseudonyms."""
     docs = _read(spark, sf_dir, "documents").select("doc_id", "text")
-    return pii.pseudonymise(docs, PII_KEY).select("doc_id", "text", F.size("pii").alias("n_values"), F.transform("pii", lambda p: p["kind"]).alias("kinds"))
+    return pii.pseudonymise(docs, pii_key(spark)).select("doc_id", "text", F.size("pii").alias("n_values"), F.transform("pii", lambda p: p["kind"]).alias("kinds"))
 
 
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
