@@ -1,7 +1,12 @@
-import corpus_pipeline
+import re
+
+import public_tokenizers
+import xxhash
+from tokenizers import Tokenizer
+
 import __spark_entry__ as entry
-from tintwell.llm import exact_dedup, pii, queries, simhash
-from tintwell.llm.simhash import fingerprint
+import corpus_pipeline
+from tintwell.llm import pii, queries, simhash
 
 
 def test_registered():
@@ -9,31 +14,82 @@ def test_registered():
     assert {f"op{n}_" for n in range(1, 11)} <= {q.split("_")[0] + "_" for q in names if q.startswith("op")} and "pipeline" in names
 
 
+def _shingles(text, width):
+    words = [w for w in re.split(r"[\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or "")) if w]
+    return [" ".join(words[i : i + width]) for i in range(len(words) - width + 1)] if len(words) >= width else [" ".join(words)] * bool(words)
+
+
+def _fingerprint(text):
+    h = [xxhash.xxh64_intdigest(s.encode(), 42) for s in _shingles(text, 3)]
+    return sum(1 << b for b in range(64) if 2 * sum(x >> b & 1 for x in h) > len(h))
+
+
+def _smallest_of_components(texts):
+    """Ids that are the smallest of their component; linked are fingerprints within 2 bits and sets of shingles at 0.8."""
+    fps, sets, root = {i: _fingerprint(t) for i, t in texts.items()}, {i: set(_shingles(t, 5)) for i, t in texts.items()}, {i: i for i in texts}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    ids = sorted(texts)
+    for k, i in enumerate(ids):
+        for j in ids[k + 1 :]:
+            shared = len(sets[i] & sets[j])
+            if (fps[i] ^ fps[j]).bit_count() <= 2 or (shared and shared >= 0.8 * (len(sets[i]) + len(sets[j]) - shared)):
+                a, b = sorted((find(i), find(j)))
+                root[b] = a
+    return {i for i in ids if find(i) == i}
+
+
 def test_stages_against_plain_versions(spark, sf_dir):
+    """Each stage on what the one before kept; nothing here is computed by the library but the quality vote and the pseudonyms."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    columns, seen = docs.columns, []
+    columns, first, seen = docs.columns, {r.doc_id: r.text for r in docs.collect()}, []
     for _, stage in corpus_pipeline.STAGES[:-1]:
         docs = stage(spark, docs, sf_dir)
-        docs = spark.createDataFrame(docs.collect(), docs.schema)
+        rows = docs.collect()
+        docs = spark.createDataFrame(rows, docs.schema)
         assert docs.columns == columns
-        seen.append({r.doc_id: r.text for r in docs.collect()})
+        seen.append({r.doc_id: r.text for r in rows})
     scores = {r.doc_id: r.predicted for r in queries.op1_quality(spark, sf_dir).collect()}
-    first = {r.doc_id: r.text for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}
     assert seen[0] == {i: t for i, t in first.items() if scores[i]}
     least = {}
     for i, t in sorted(seen[0].items()):
-        least.setdefault(" ".join(t.split()) if t.isascii() else t, i)
-    assert len(seen[1]) == spark.createDataFrame(list(seen[0].items()), "doc_id long, text string").transform(exact_dedup.exact_dedup).where("kept").count()
-    fps = {i: fingerprint(t) for i, t in seen[1].items()}
-    for i in set(seen[1]) - set(seen[2]):
-        assert any(((fps[i] ^ fps[j]) & (2**64 - 1)).bit_count() <= 2 for j in seen[1] if j != i)
-    for i in seen[2]:
-        assert not any(((fps[i] ^ fps[j]) & (2**64 - 1)).bit_count() <= 2 for j in seen[2] if j != i)
-    by = pii.Pseudonymiser(queries.PII_KEY)
+        least.setdefault(re.sub(r"[\x20\x09-\x0D]+", " ", t), i)
+    assert seen[1] == {i: seen[0][i] for i in least.values()}
+    assert seen[2] == {i: seen[1][i] for i in _smallest_of_components(seen[1])}
+    by = pii.Pseudonymiser(queries.pii_key(spark))
     assert seen[3] == {i: by.text(t)[0] for i, t in seen[2].items()}
-    pieces = corpus_pipeline.packed(spark, docs, sf_dir).collect()
-    assert {p.doc_id for p in pieces} == set(seen[3])
-    assert all(len(p.token_ids) == 4 * p.length for p in pieces)
+    library, pieces, filled = Tokenizer.from_file(public_tokenizers.path(queries.WORD_BPE)), {}, {}
+    for p in corpus_pipeline.packed(spark, docs, sf_dir).collect():
+        pieces.setdefault(p.doc_id, []).append((p.start, bytes(p.token_ids)))
+        filled.setdefault(p.sequence_id, []).append((p.offset, p.length))
+    for i, t in seen[3].items():
+        ids = [*library.encode(t, add_special_tokens=False).ids, 2]
+        assert b"".join(b for _, b in sorted(pieces.pop(i))) == b"".join(n.to_bytes(4, "little") for n in ids)
+    assert not pieces
+    for parts in filled.values():
+        ends = [0, *(o + n for o, n in sorted(parts))]
+        assert [o for o, _ in sorted(parts)] == ends[:-1] and ends[-1] <= 4096
+
+
+def test_users_columns_stay(spark, sf_dir):
+    """Columns that are named like what an operator adds come through all stages as they were."""
+    texts = spark.read.parquet(f"{sf_dir}/documents.parquet").limit(60)
+    docs = texts.selectExpr("*", "concat('s', doc_id) score", "'k' kept", "'p' pii", "array(1) keep_id", "true predicted", "'d' text_sha256")
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        kept = stage(spark, docs, sf_dir)
+        assert kept.columns == docs.columns and dict(kept.dtypes)["score"] == "string"
+        assert all(r.score == f"s{r.doc_id}" and (r.kept, r.pii, r.keep_id, r.text_sha256) == ("k", "p", [1], "d") for r in kept.collect())
+
+
+def test_an_empty_table_passes_all_stages(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").limit(0)
+    for _, stage in corpus_pipeline.STAGES:
+        docs = stage(spark, docs, sf_dir)
+        assert docs.count() == 0
 
 
 def test_run(spark, sf_dir):
