@@ -93,7 +93,7 @@ def bucketed(df: DataFrame, key: str, label: str) -> DataFrame:
     staged ones and is known to the session's catalog until it is dropped.
     """
     spark = df.sparkSession
-    split = int(spark.conf.get("spark.sql.files.maxPartitionBytes").rstrip("b"))
+    split = int(spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes())
     size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     wanted = -(-size // split) if size < 1 << 60 else int(spark.conf.get("spark.sql.shuffle.partitions"))  # rows of the session have no known size
     n = min(int(spark.conf.get("spark.sql.sources.bucketing.maxBuckets")), max(spark.sparkContext.defaultParallelism, wanted))
