@@ -1,6 +1,8 @@
 import hashlib
 import re
 
+from pyspark.sql import functions as F
+
 from tests.oracle import connection, differing
 from tintwell.llm import exact_dedup, queries, simhash, substring
 from tintwell.llm.simhash import fingerprint
@@ -32,15 +34,34 @@ def test_exact_edge_cases(spark):
 
 def test_exact_hot_group(spark):
     rows = [(k, "same" if k % 2 else f"t{k}") for k in range(4000)]
-    got = exact_dedup.exact_dedup(frame(spark, rows), runs=16, fan_in=4)
+    got = exact_dedup.exact_dedup(frame(spark, rows), runs=16)
     kept = got.where("kept").select("doc_id").collect()
     assert {r.doc_id for r in kept} == {1, *range(0, 4000, 2)}
     assert got.where("text = 'same'").select("group_size").distinct().first()[0] == 2000
 
 
-def test_exact_plan_is_native(spark):
-    plan = exact_dedup.exact_dedup(frame(spark, [(1, "a")]))._jdf.queryExecution().executedPlan().toString()
+def test_exact_plan_is_native_and_merges_sorted_runs(spark):
+    docs = frame(spark, [(1, "a")])
+    plan = exact_dedup.exact_dedup(docs)._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|InArrow", plan)
+    merge = exact_dedup.merged_runs(exact_dedup._with_key(docs, "doc_id", "text", 16), 16)._jdf.queryExecution().executedPlan().toString()
+    # Ids, then runs, then four rounds: each sorted before its exchange and after it.
+    assert merge.count("SortAggregate") == 12 and merge.count("Exchange") == 6 and "HashAggregate" not in merge
+
+
+def test_exact_hot_ids(spark):
+    """One row repeated over a third of the table, and null ids on another third."""
+    rows = [(7, "same") if k % 3 == 0 else (None, "null's") if k % 3 == 1 else (100 + k, f"t{k}") for k in range(3000)]
+    for runs in (1, 2, 256):
+        got = exact_dedup.exact_dedup(frame(spark, rows), runs=runs)
+        assert got.count() == 3000
+        seen = {(r.doc_id, r.text, r.keep_id, r.group_size): r.n for r in got.where("kept and text in ('same', \"null's\")").groupBy("doc_id", "text", "keep_id", "group_size").agg(F.count("*").alias("n")).collect()}
+        assert seen == {(7, "same", 7, 1000): 1, (None, "null's", None, 1000): 1}
+
+
+def test_exact_all_null(spark):
+    got = exact_dedup.exact_dedup(frame(spark, [(None, None)] * 5)).collect()
+    assert [r.kept for r in got].count(True) == 1 and all(r.group_size == 5 and r.keep_id is None for r in got)
 
 
 def test_empty_tables(spark):
@@ -121,6 +142,30 @@ def test_repeats_equal_brute_force(spark):
         assert got == substring.brute_force(dict(rows))
 
 
+def test_repeats_of_text_ids_and_clashing_columns(spark):
+    rows = [(f"k{i:02d}", t) for i, t in _repeat_rows()]
+    df = spark.createDataFrame([(i, t, 1, [2], "x") for i, t in rows], "doc_id string, text string, place int, marks array<int>, id string")
+    got = {r.doc_id: (r.n_words, r.n_removed, r.kept_sha256) for r in substring.digests(substring.remove_repeats(df)).collect()}
+    assert got == substring.brute_force(dict(rows))
+
+
+def test_levels_are_doubled(spark, monkeypatch):
+    """Candidates of 5 words that no longer window shares are gone after the next level."""
+    seen = []
+    plain = substring._looked_up
+
+    def looked_up(texts, kind, find, label):
+        kept = plain(texts, kind, find, label)
+        seen.append((label, kept.count()))
+        return kept
+
+    monkeypatch.setattr(substring, "_looked_up", looked_up)
+    common = " ".join(f"c{k}" for k in range(8))
+    rows = [(k, " ".join([*(f"a{k}.{j}" for j in range(30)), common, *(f"b{k}.{j}" for j in range(30))])) for k in range(60)]
+    left = substring.remove_repeats(frame(spark, rows)).collect()
+    assert [label for label, _ in seen] == ["anchors", "of-10"] and seen[0][1] > 0 == seen[1][1] and not any(r.n_removed for r in left)
+
+
 def test_repeats_query_equals_brute_force(spark, sf_dir):
     rows = {r.doc_id: r.text for r in spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").collect()}
     got = {r.doc_id: (r.n_words, r.n_removed, r.kept_sha256) for r in queries.op8_substring_dedup(spark, sf_dir).collect()}

@@ -1,9 +1,11 @@
-"""Exact duplicate detection by a tree-merge of digest runs, with DataFrame functions only.
+"""Exact duplicate detection by a tree-merge of sorted digest runs, with DataFrame functions only.
 
-Rows are dealt by id over ``runs`` runs. A run holds the digests of its rows, each with its smallest id and row count.
-``fan_in`` runs at a time are merged, round by round, until one run is left; every merge keeps the smallest id of a
-digest. The final values then travel the same tree back down, so that a text shared by a third of all rows is at most
-``runs`` rows in any merge, and its rows meet their result in as many separate join keys.
+Rows are dealt by id over runs, a power of two of them. A run is sorted by digest and holds each digest once, with the
+smallest id that has it. Runs then meet in binomial rounds: in each round every run is exchanged with its neighbour, the
+two are merged in the order of their digests, and half as many runs are left, until one is, dealt by digest over all
+tasks. Every merge verifies that digests are of equal texts by length and a second checksum, keeps the smallest id, adds
+up the rows and notes the runs that they came from. So no merge has more than two rows of a text, be it a third of all.
+Groups of several rows travel back under the runs they came from; a row that meets none is alone.
 """
 
 from __future__ import annotations
@@ -15,6 +17,7 @@ from tintwell.operators.scratch import staged
 
 SPACES = r"[\x20\x09-\x0D]+"
 KEY = ["_digest", "_bytes", "_check"]
+WORD = 64  # runs to a number of the note
 
 
 def normalised(text: Column) -> Column:
@@ -33,7 +36,24 @@ def _with_key(docs: DataFrame, id_col: str, text_col: str, runs: int) -> DataFra
     )
 
 
-def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", runs: int = 256, fan_in: int = 16) -> DataFrame:
+def merged_runs(keyed: DataFrame, runs: int) -> DataFrame:
+    """(key, least, n, and the note) of every digest: least holds the smallest id and how many rows have it.
+
+    The struct in least makes Spark merge in sorted order; a null id is behind every other one.
+    """
+    note = [f"_from{k}" for k in range(-(-runs // WORD))]
+    ids = keyed.groupBy(*KEY, "_run", "_id").agg(F.min(F.struct(F.isnull("_id").alias("none"), F.col("_id").alias("id"))).alias("own"), F.count(F.lit(1)).alias("n"))
+    level = ids.groupBy(*KEY, "_run").agg(F.min(F.struct("own.none", "own.id", F.col("n").alias("times"))).alias("least"), F.sum("n").alias("n"))
+    bit = F.expr(f"shiftleft(1L, _run % {WORD})")
+    level = level.select("*", *(F.when(F.floor(F.col("_run") / WORD) == k, bit).otherwise(F.lit(0).cast("bigint")).alias(c) for k, c in enumerate(note)))
+    while runs > 1:
+        runs = -(-runs // 2)
+        level = level.withColumn("_run", F.shiftright("_run", 1))
+        level = level.groupBy(*KEY, "_run").agg(F.min("least").alias("least"), F.sum("n").alias("n"), *(F.bit_or(c).alias(c) for c in note))
+    return level.select(*KEY, "least", "n", F.array(*note).alias("note"))
+
+
+def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", runs: int = 256) -> DataFrame:
     """Every row of docs with keep_id, group_size, kept and text_sha256 added.
 
     Texts are equal when they are identical after each run of ASCII white space has become one space; a null text counts
@@ -42,27 +62,26 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     exactly one is kept. A null id ranks behind every other id; a group of null ids only has keep_id null and one kept
     row. Columns of docs named like an added column are replaced. An empty table gives an empty result.
     """
+    if runs < 1 or runs & (runs - 1):
+        raise ValueError("runs must be a power of two")
     out = ["keep_id", "group_size", "kept", "text_sha256"]
     docs = docs.drop(*(c for c in docs.columns if c.lower() in out and c not in (id_col, text_col)))
     keyed = _with_key(docs, id_col, text_col, runs)
-    level = keyed.groupBy(*KEY, "_run").agg(F.min("_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
-    levels = [staged(level, "digest-runs")]
-    width = runs
-    while width > 1:
-        below, width = levels[-1], -(-width // fan_in)
-        level = below.withColumn("_run", F.floor(F.col("_run") / fan_in).cast("int"))
-        levels.append(level.groupBy(*KEY, "_run").agg(F.min("keep_id").alias("keep_id"), F.sum("group_size").alias("group_size")))
-    result = levels.pop()
-    while levels:
-        below = levels.pop().select(*KEY, F.col("_run").alias("_low"), F.floor(F.col("_run") / fan_in).cast("int").alias("_run"))
-        result = below.join(result, [*KEY, "_run"]).select(*KEY, F.col("_low").alias("_run"), "keep_id", "group_size")
-    joined = keyed.join(result, [*KEY, "_run"])
-    again = F.row_number().over(Window.partitionBy(*KEY, "_run", "_id").orderBy("_id"))
-    # Null ids are one run, so at most one row of an all-null group has number 1.
-    return joined.withColumn("_again", again).select(
+    came_from = F.expr(f"filter(sequence(0, {runs - 1}), r -> (shiftrightunsigned(element_at(note, int(r div {WORD}) + 1), r % {WORD}) & 1) = 1)")
+    groups = merged_runs(keyed, runs).where("n > 1").select(*KEY, F.col("least.id").alias("keep_id"), F.col("least.times").alias("times"), F.col("n").alias("group_size"), F.explode(came_from).alias("_run"))
+    groups = staged(groups.withColumn("_found", F.lit(True)), "digest-groups")
+    joined = keyed.join(groups, [*KEY, "_run"], "left")
+    first = F.col("_found").isNull() | F.col("_id").eqNullSafe(F.col("keep_id"))
+    tie = F.coalesce(first & (F.col("times") > 1), F.lit(False))
+    if groups.where("times > 1").isEmpty():
+        done = joined.withColumn("kept", first)
+    else:  # rows that share the id that stays, too
+        place = F.row_number().over(Window.partitionBy(*KEY).orderBy("_id"))
+        done = joined.where(~tie).withColumn("kept", first).unionByName(joined.where(tie).withColumn("kept", place == 1))
+    return done.select(
         *(F.col("_row")[c].alias(c) for c in docs.columns),
-        "keep_id",
-        "group_size",
-        (F.col("_id").eqNullSafe(F.col("keep_id")) & (F.col("_again") == 1)).alias("kept"),
+        F.when(F.col("_found").isNull(), F.col("_id")).otherwise(F.col("keep_id")).alias("keep_id"),
+        F.coalesce("group_size", F.lit(1)).cast("bigint").alias("group_size"),
+        "kept",
         F.lower(F.hex("_digest")).alias("text_sha256"),
     )
