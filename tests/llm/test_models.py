@@ -211,3 +211,39 @@ def test_neighbours_edge_cases(spark):
     assert ann.search(ann.index(empty), empty, empty.vec_id % 100 == 0).count() == 0
     few = df.where("vec_id IN (0, 1, 200)")
     assert ann.search(ann.index(few), few, few.vec_id % 100 == 0).count() == 4
+
+
+def test_neighbours_of_all_lengths_sizes_and_repeated_ids(spark):
+    """Vectors of another length, of squares beyond any float, and rows that share an id are all candidates."""
+    rows = [(100, [1e200, 0.0]), (1, [1e200, 3e199]), (2, [0.0, 1e-300]), (3, [5.0, 5.0]), (3, [6.0, 5.0]), (3, [6.0, 5.0]), (200, [1.0, 2.0, 3.0]), (4, [1.0, 2.0, 5.0]), (300, [7.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = {}
+    for r in ann.search(ann.index(df), df, df.vec_id % 100 == 0).orderBy("query_id", "rank").collect():
+        got.setdefault(r.query_id, []).append((r.vec_id, r.score))
+    assert got == {100: [(1, pytest.approx(3e199)), (2, 1e200), (3, 1e200), (3, 1e200)], 200: [(4, 2.0)]}
+
+
+def test_ties_at_the_last_neighbour_are_shared():
+    """Which of the texts at the same cosine come first in the sample decides nothing."""
+    vectors = np.array([[1.0, 0.0], [0.6, 0.8], [0.6, 0.8], [0.6, 0.8]], np.float32)
+    basis = np.zeros((quality.FEATURES, 2), np.float32)
+    basis[0, 0] = 1
+    counts = np.zeros((1, quality.FEATURES), np.float32)
+    counts[0, 0] = 1
+    for labels in ([1.0, 1.0, 0.0, 0.0], [1.0, 0.0, 1.0, 0.0], [1.0, 0.0, 0.0, 1.0]):
+        voter = quality.Voter(np.ones(quality.FEATURES, np.float32), basis, vectors, np.array(labels), 2)
+        assert voter.scores(counts)[0] == pytest.approx((1 + 0.6 / 3) / 1.6)
+
+
+def test_the_quality_query_equals_plain_votes(spark, sf_dir):
+    docs, labels = (spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("documents", "labels"))
+    voter = quality.fit(docs, labels)
+    got = {r.doc_id: r for r in queries.op1_quality(spark, sf_dir).collect()}
+    rows = docs.select("doc_id", "text").collect()
+    assert len(got) == len(rows)
+    for r in rows[:60]:
+        z = voter.latent(quality.features(r.text)[None, :])[0]
+        near = sorted(((float(z @ v), y) for v, y in zip(voter.vectors, voter.labels, strict=True)), reverse=True)[: voter.neighbours]
+        total = sum(max(c, 0) for c, _ in near)
+        assert got[r.doc_id].score == pytest.approx(sum(max(c, 0) * y for c, y in near) / total, abs=0.02)
+        assert got[r.doc_id].predicted == int(got[r.doc_id].score >= 0.3)

@@ -7,6 +7,7 @@ becomes a span of its own and a stray word does not.
 
 from __future__ import annotations
 
+import hashlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -17,6 +18,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tintwell.llm.sampling import bounded, held_out
+from tintwell.llm.units import REMEMBERED
 from tintwell.operators.scratch import bounded_batches
 
 # First and last code point of common scripts, from the Unicode block list.
@@ -74,8 +76,8 @@ class LanguageModel:
     _table: np.ndarray | None = None
     _letters: np.ndarray | None = None
 
-    def learn_rows(self, words: set[str]) -> None:
-        """Score rows of words that have none yet: relative to the best candidate, no lower than -clip; zero without letters."""
+    def learn_rows(self, words: dict[str, str]) -> None:
+        """Score rows of words, by their keys, that have none yet: relative to the best candidate, no lower than -clip; zero without letters."""
         if self._table is None or len(self._row) + len(words) > MEMO:
             self._row = {}
             self._table, self._letters = np.zeros((0, len(self.langs)), np.float32), np.zeros(0, np.int32)
@@ -84,7 +86,7 @@ class LanguageModel:
             return
         flat, starts, letters, kinds, unseen, get = [], [], [], [], len(self.ids), self.ids.get
         for w in new:
-            c = core(w)
+            c = core(words[w])
             starts.append(len(flat))
             letters.append(len(c))
             kinds.append(script(c) if c else -1)
@@ -112,7 +114,7 @@ class LanguageModel:
         at = 0
         while at < len(order):
             longest = len(scores[order[at]])
-            some = order[at : at + (max(1, min(group, 4_000_000 // max(1, longest))))]
+            some = order[at : at + (max(1, min(group, 4_000_000 // max(1, longest * len(self.langs)))))]
             at += len(some)
             s = np.zeros((longest, len(some), len(self.langs)), np.float32)
             for g, i in enumerate(some):
@@ -143,23 +145,26 @@ class LanguageModel:
         held: list[np.ndarray] = []
         counts: list[np.ndarray] = []
         for words in split:
+            keys = words
+            if max(map(len, words), default=0) > REMEMBERED:  # long words are remembered by a digest
+                keys = [w if len(w) <= REMEMBERED else hashlib.blake2b(w.encode("utf-8", "surrogatepass"), digest_size=16).hexdigest() for w in words]
             try:
-                rows = np.fromiter(map(self._row.__getitem__, words), np.int64, len(words))
+                rows = np.fromiter(map(self._row.__getitem__, keys), np.int64, len(words))
             except KeyError:
                 if len(words) > MEMO:  # a text with more words than are remembered is scored piece by piece
                     parts = []
                     for k in range(0, len(words), MEMO):
-                        piece = words[k : k + MEMO]
-                        self.learn_rows(set(piece))
+                        piece = keys[k : k + MEMO]
+                        self.learn_rows(dict(zip(piece, words[k : k + MEMO], strict=True)))
                         r = np.fromiter(map(self._row.__getitem__, piece), np.int64, len(piece))
                         parts.append((self._table[r], self._letters[r]))
                     held.append(np.concatenate([p[0] for p in parts]))
                     counts.append(np.concatenate([p[1] for p in parts]))
                     continue
-                self.learn_rows(set(words))
-                rows = np.fromiter(map(self._row.__getitem__, words), np.int64, len(words))
+                self.learn_rows(dict(zip(keys, words, strict=True)))
+                rows = np.fromiter(map(self._row.__getitem__, keys), np.int64, len(words))
             if self._table is None:
-                self.learn_rows(set())
+                self.learn_rows({})
             held.append(self._table[rows])
             counts.append(self._letters[rows])
         out = []

@@ -20,6 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tintwell.llm.units import REMEMBERED
 from tintwell.operators.scratch import bounded_batches
 
 MEMO = 800_000
@@ -67,7 +68,9 @@ class WordEncoder:
         if found is None:
             if len(self.words) >= MEMO:
                 self.words = {"": b""}
-            found = self.words[word] = np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
+            found = np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
+            if len(word) <= REMEMBERED:
+                self.words[word] = found
         return found
 
     def _western(self, text: str) -> bytes:
@@ -78,11 +81,11 @@ class WordEncoder:
         except KeyError:
             if len(known) >= MEMO:
                 known.clear()
-            tokenize, letters = self.tokenizer.model.tokenize, self.letters
+            tokenize, letters, long = self.tokenizer.model.tokenize, self.letters, {}
             for part in parts:
-                if part not in known:
-                    known[part] = array("I", [t.id for t in tokenize(part.encode().decode("latin-1").translate(letters))]).tobytes()
-            return b"".join(map(known.__getitem__, parts))
+                if part not in known and part not in long:
+                    (known if len(part) <= REMEMBERED else long)[part] = array("I", [t.id for t in tokenize(part.encode().decode("latin-1").translate(letters))]).tobytes()
+            return b"".join([known[p] if p in known else long[p] for p in parts])
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""

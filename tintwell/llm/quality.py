@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
 
 from tintwell.llm.sampling import bounded, held_out
+from tintwell.llm.units import REMEMBERED
 from tintwell.operators.scratch import bounded_batches
 
 SHAPES, WORDS, BANDS = 768, 768, 64
@@ -37,7 +38,9 @@ class _Memo(dict):
                 shape.append(kind)
             before = kind
         core = word.strip(".,;:!?\"'()").lower()
-        found = self[word] = (core.isalpha() << 32) | zlib.crc32("".join(shape).encode("utf-8", "surrogatepass")) % SHAPES << 16 | zlib.crc32(core.encode("utf-8", "surrogatepass")) % WORDS
+        found = (core.isalpha() << 32) | zlib.crc32("".join(shape).encode("utf-8", "surrogatepass")) % SHAPES << 16 | zlib.crc32(core.encode("utf-8", "surrogatepass")) % WORDS
+        if len(word) <= REMEMBERED:
+            self[word] = found
         return found
 
 
@@ -84,15 +87,21 @@ class Voter:
         return z / np.maximum(np.linalg.norm(z, axis=1, keepdims=True), 1e-12)
 
     def scores(self, counts: np.ndarray, block: int = 256) -> np.ndarray:
-        """Between 0 and 1; 0.5 where nothing was learned or no neighbour is at a positive cosine."""
+        """Between 0 and 1; 0.5 where nothing was learned or no neighbour is at a positive cosine.
+
+        Labelled texts at the cosine of the last neighbour have an equal share in the places that are left, so the order
+        of the sample decides nothing.
+        """
         out = np.full(len(counts), 0.5)
-        k = min(self.neighbours, len(self.labels))
+        n = len(self.labels)
+        k = min(self.neighbours, n)
         for at in range(0, len(counts) if k else 0, block):
             cos = self.latent(counts[at : at + block]) @ self.vectors.T
-            near = np.argpartition(-cos, k - 1, axis=1)[:, :k]
-            weight = np.maximum(np.take_along_axis(cos, near, 1), 0).astype(np.float64)
-            total = weight.sum(1)
-            vote = (weight * self.labels[near]).sum(1)
+            last = np.partition(cos, n - k, axis=1)[:, n - k, None]
+            nearer, equal = cos > last, cos == last
+            weight = np.where(nearer, np.maximum(cos, 0), 0).astype(np.float64)
+            rest = (k - nearer.sum(1)) * np.maximum(last[:, 0], 0)  # places that those at the last one's cosine share
+            total, vote = weight.sum(1) + rest, weight @ self.labels + rest * (equal @ self.labels) / equal.sum(1)
             out[at : at + block] = np.where(total > 0, np.clip(vote / np.maximum(total, 1e-12), 0, 1), 0.5)
         return out
 
@@ -100,8 +109,8 @@ class Voter:
 def fit(docs: DataFrame, labels: DataFrame, label_col: str = "quality", id_col: str = "doc_id", text_col: str = "text", per_class: int = 1500, rank: int = 48, neighbours: int = 25) -> Voter:
     """Learn from at most about 2 * per_class labelled rows of each label outside the held-out fold.
 
-    Rows of labels with a null id or label are left out; of repeated ones the mean label counts, from 0.5 on as 1. Without
-    any labelled text every score is 0.5.
+    Rows of labels with a null id or label are left out; of repeated ones the mean label counts, from 0.5 on as 1. Of
+    documents that share an id, the least text counts. Without any labelled text every score is 0.5.
     """
     known = labels.where(F.col(id_col).isNotNull() & F.col(label_col).isNotNull() & ~held_out(id_col)).groupBy(id_col).agg((F.avg(label_col) >= 0.5).cast("int").alias("_label"))
     sample = F.broadcast(bounded(known, "_label", id_col, per_class))  # its rows are bounded by per_class
@@ -113,13 +122,14 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "quality", id_col:
                 rows = [features(t) for t in part.column(1).to_pylist()]
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array([r.tobytes() for r in rows], pa.binary())], names=["label", "f"])
 
-    got = bounded_batches(docs.select(id_col, text_col).join(sample, id_col).select("_label", text_col)).mapInArrow(run, "label int, f binary").collect()
+    texts = docs.select(id_col, text_col).join(sample, id_col).groupBy(id_col).agg(F.first("_label").alias("_label"), F.min(text_col).alias(text_col))
+    got = bounded_batches(texts.select("_label", text_col)).mapInArrow(run, "label int, f binary").collect()  # no more rows than the sample
     y = np.array([r["label"] for r in got], np.float64)
     x = np.frombuffer(b"".join(bytes(r["f"]) for r in got), np.float32).reshape(len(got), FEATURES)
     if not len(y):
         empty = np.zeros((0, 1), np.float32)
         return Voter(np.ones(FEATURES, np.float32), np.zeros((FEATURES, 1), np.float32), empty, y, neighbours)
-    order = np.lexsort((y, *x[:, :8].T, x.sum(1)))  # rows arrive in any order
+    order = sorted(range(len(y)), key=lambda i: (x[i].tobytes(), y[i]))  # rows arrive in any order
     x, y = x[order], y[order]
     idf = np.log((1 + len(x)) / (1 + (x > 0).sum(0))).astype(np.float32) + 1
     w = x * idf
