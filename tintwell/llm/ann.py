@@ -244,7 +244,8 @@ def index(rows: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding"
     layer = pa.list_(pa.struct([("nodes", pa.binary()), ("links", pa.binary())]))
     schema = pa.schema([("dim", pa.int32()), ("shard", pa.int32()), ("ids", pa.binary()), ("starts", pa.binary()), ("vectors", pa.binary()), ("layers", layer)])
     shard = F.pmod(F.xxhash64(F.lit("shard"), "id", "v"), F.col("shards")).cast("int").alias("shard")
-    return staged(fine.join(sizes, "dim").select("dim", shard, "id", "v").groupBy("dim", "shard").applyInArrow(run, INDEX), "graphs")
+    total = max(1, sizes.agg(F.sum("shards")).first()[0] or 0)  # a task for each shard, however few bytes it has
+    return staged(fine.join(sizes, "dim").select("dim", shard, "id", "v").repartition(total, "dim", "shard").groupBy("dim", "shard").applyInArrow(run, INDEX), "graphs")
 
 
 def search(graphs: DataFrame, rows: DataFrame, queries: Column, id_col: str = "vec_id", vector_col: str = "embedding", k: int = 10, size: int = BEAM, block: int = 8192) -> DataFrame:
