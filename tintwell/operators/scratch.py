@@ -88,15 +88,16 @@ def _held(table: DataFrame) -> DataFrame:
 def bucketed(df: DataFrame, key: str, label: str) -> DataFrame:
     """df written once in buckets by a column, so that later joins on it move the other side alone.
 
-    There are about as many buckets as the size of df has splits, or as a shuffle has partitions where that is not known, and
-    as many as cores at least. The table lies beside the
+    There are about as many buckets as the size of df has splits, and as many as a shuffle has partitions at least. The table lies beside the
     staged ones and is known to the session's catalog until it is dropped.
     """
     spark = df.sparkSession
     split = int(spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes())
     size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    wanted = -(-size // split) if size < 1 << 60 else int(spark.conf.get("spark.sql.shuffle.partitions"))  # rows of the session have no known size
-    n = min(int(spark.conf.get("spark.sql.sources.bucketing.maxBuckets")), max(spark.sparkContext.defaultParallelism, wanted))
+    # With fewer buckets than a shuffle has partitions Spark would deal this side anew when the other has been dealt by the key.
+    least = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    wanted = -(-size // split) if size < 1 << 60 else 0  # rows of the session have no known size
+    n = min(int(spark.conf.get("spark.sql.sources.bucketing.maxBuckets")), max(least, wanted))
     path, name = _place(spark, label), f"tintwell_{uuid.uuid4().hex}"
     with _shuffles_dropped(spark):
         df.repartition(n, key).write.format("parquet").bucketBy(n, key).option("path", path).saveAsTable(name)
