@@ -34,6 +34,30 @@ def test_components_of_nothing(spark):
     assert graph.components(spark.createDataFrame([], "u long, v long")).count() == 0
 
 
+def test_components_of_few_arcs_take_no_round(spark, monkeypatch):
+    """A chain is contracted where it lies: one table of arcs is written, not one for each doubling."""
+    seen, plain = [], graph.staged
+    monkeypatch.setattr(graph, "staged", lambda df, label: seen.append(label) or plain(df, label))
+    edges = [(f"n{k:04d}", f"n{k + 1:04d}") for k in range(500)] + [("x", "x"), (None, "y")]
+    got = {r.node: r.root for r in graph.components(spark.createDataFrame(edges, "u string, v string").coalesce(1)).collect()}
+    assert got == {f"n{k:04d}": "n0000" for k in range(501)} and len(seen) <= 2
+
+
+def test_components_of_parts_of_a_partition(spark, monkeypatch):
+    """Arcs that are contracted a few at a time still end as one star for each component."""
+    plain = graph._contracted
+    monkeypatch.setattr(graph, "_contracted", lambda arcs: plain(arcs, 3))
+    monkeypatch.setattr(graph, "SALTS", 2)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "4")
+    try:
+        edges = [(k, k + 1) for k in range(40)] + [(100 + k % 7, 110 + k) for k in range(30)] + [(-5, -9), (-9, -7)]
+        rows = graph.components(spark.createDataFrame(edges, "u int, v int")).collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    want = {k: 0 for k in range(41)} | {110 + k: 100 + k % 7 for k in range(30)} | {100 + k: 100 + k for k in range(7)} | dict.fromkeys((-5, -9, -7), -9)
+    assert {r.node: r.root for r in rows} == want and len(rows) == len(want)
+
+
 def test_hamming_pairs_equal_brute_force(spark):
     rng = random.Random(1)
     base = [rng.getrandbits(63) for _ in range(12)]

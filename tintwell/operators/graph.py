@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tintwell.operators.scratch import drop, staged
+from tintwell.operators.scratch import drop, ship, staged
 
 SALTS = 16
+#: Types whose order in Python is Spark's.
+PLAIN = ("tinyint", "smallint", "int", "bigint", "string")
 
 
 def _star(arcs: DataFrame) -> DataFrame:
@@ -17,26 +22,74 @@ def _star(arcs: DataFrame) -> DataFrame:
     return arcs.withColumn("s", F.pmod(F.xxhash64("v"), F.lit(SALTS)).cast("int")).join(least, ["u", "s"])
 
 
+def forest(arcs: list[tuple]) -> list[tuple]:
+    """(node, root) for every node of the arcs (u, v) but the roots: root is the smallest node that these arcs reach."""
+    up: dict = {}
+
+    def find(x):
+        while (above := up.setdefault(x, x)) != x:
+            up[x] = x = up[above]
+        return x
+
+    for u, v in arcs:
+        u, v = find(u), find(v)
+        if u != v:
+            up[max(u, v)] = min(u, v)
+    return [(x, r) for x in up if (r := find(x)) != x]
+
+
+def _contracted(arcs: DataFrame, most: int = 200_000) -> DataFrame:
+    """Stars in place of the arcs, for each run of at most ``most`` arcs or one Arrow batch that lie together in a partition.
+
+    Nodes stay connected as they were, and no node's smallest neighbour becomes larger.
+    """
+    if arcs.schema["u"].dataType.simpleString() not in PLAIN:
+        return arcs
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, schema = [], None
+        for batch in batches:
+            schema = batch.schema
+            held += zip(*(c.to_pylist() for c in batch.columns), strict=True)
+            if len(held) >= most:
+                held = forest(held)
+                if 2 * len(held) >= most:
+                    yield pa.RecordBatch.from_arrays([pa.array([a[k] for a in held], schema.field(k).type) for k in (0, 1)], schema=schema)
+                    held = []
+        if held:
+            held = forest(held)
+            yield pa.RecordBatch.from_arrays([pa.array([a[k] for a in held], schema.field(k).type) for k in (0, 1)], schema=schema)
+
+    ship(arcs.sparkSession)
+    return arcs.mapInArrow(run, arcs.schema)
+
+
+def _settled(arcs: DataFrame) -> bool:
+    """Whether every node either has one arc down or is a root."""
+    ends = arcs.select(F.explode(F.array(F.struct(F.col("u").alias("node"), F.lit(1).alias("n")), F.struct(F.col("v").alias("node"), F.lit(0).alias("n")))).alias("e")).select("e.*")
+    open_nodes = ends.groupBy("node").agg(F.sum("n").alias("down"), F.min("n").alias("least")).where("down > 1 or down = 1 and least = 0")
+    return open_nodes.agg(F.count(F.lit(1))).first()[0] == 0
+
+
 def components(edges: DataFrame, max_rounds: int = 64) -> DataFrame:
     """(node, root) for every node of edges (u, v): root is the smallest node that it can reach.
 
-    Nodes are of one orderable type. Loops and repeated edges are ignored. Every round is written as a table; the loop
-    ends when a round changes nothing, which is certain, as each step only lowers ends of arcs.
+    Nodes are of one orderable type. Loops and repeated edges are ignored. Every round is written as a table, whose arcs
+    are contracted where they lie, so that few arcs take no round at all. The loop ends when every arc leads to a root,
+    which is certain: a round lowers the smallest neighbour of some node, and raises none, until all arcs do.
     """
-    now = staged(edges.where("u is not null and v is not null and u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "arcs")
-    mark = F.struct(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")))
-    seen = now.agg(mark).first()[0]
+    arcs = edges.where("u is not null and v is not null and u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
+    now = staged(_contracted(arcs), "arcs")
     for _ in range(max_rounds):
+        if _settled(now):
+            break
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         large = _star(both).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         stars = _star(large)
         small = stars.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(stars.select("u", F.col("m").alias("v")))
-        after = staged(small.where("u <> v").distinct(), "arcs")
+        after = staged(_contracted(small.where("u <> v").distinct()), "arcs")
         drop(now)
-        now, before = after, seen
-        seen = now.agg(mark).first()[0]
-        if seen == before:
-            break
+        now = after
     else:
         raise RuntimeError("components did not settle")
     nodes = now.select(F.col("u").alias("node"), F.col("v").alias("root"))
