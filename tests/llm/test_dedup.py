@@ -104,6 +104,24 @@ def test_simhash_edge_cases(spark):
     assert sorted(map(str, map(tuple, got))) == sorted(map(str, _groups(rows)))
 
 
+def test_simhash_deals_out_linked_fingerprints_alone(spark, monkeypatch):
+    """Where no text has a near copy, no fingerprint is copied to every salt."""
+    words = [" ".join(f"w{k}.{j}" for j in range(12)) for k in range(300)]
+    rows = [*enumerate(words), (900, words[7]), (901, words[8]), (None, "own"), (None, words[9])]
+    frames, plain = {}, simhash.staged
+    monkeypatch.setattr(simhash, "staged", lambda df, label: plain(frames.setdefault(label, df), label))
+    got = simhash.simhash_groups(frame(spark, rows)).select("doc_id", "fingerprint", "component_id").collect()
+    assert sorted(map(str, map(tuple, got))) == sorted(map(str, _groups(rows)))
+
+    def generated(node):
+        below = [node.children().apply(k) for k in range(node.children().size())]
+        return [node] * (node.nodeName() == "Generate") + [g for x in below for g in generated(x)]
+
+    rows_of = spark._jvm.org.apache.spark.sql.classic.Dataset.ofRows
+    salted = generated(frames["components"]._jdf.queryExecution().optimizedPlan())
+    assert salted and all(rows_of(spark._jsparkSession, g).count() < 301 for g in salted)
+
+
 def test_simhash_links_of_crowded_buckets(spark):
     base = 0x0123456789ABCDEF
     fps = sorted({base ^ (1 << a) ^ (1 << b) for a in range(0, 63, 3) for b in range(0, 63, 5)} | {0, 3, 12, 15})

@@ -84,10 +84,12 @@ def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     low = dealt.groupBy("fp", "_run").agg(F.min(id_col).alias("least"))
     each = staged(low.groupBy("fp").agg(F.min("least").alias("least")), "distinct-fingerprints")
     roots = components(links(each.select("fp")))
-    named = each.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    best = named.groupBy("root").agg(F.min("least").alias("component_id"))
+    # Only linked fingerprints have anything to be told; all others keep their own smallest id.
+    linked = each.join(roots.withColumnRenamed("node", "fp"), "fp")
+    best = linked.groupBy("root").agg(F.min("least").alias("component_id"))
     salt = F.pmod(F.xxhash64(F.lit("salt"), F.col("fp")), F.lit(16)).cast("int")
     salted = best.select("*", F.explode(F.array(*map(F.lit, range(16)))).alias("s"))
-    final = staged(named.withColumn("s", salt).join(salted, ["root", "s"]).select("fp", "component_id"), "components")
+    named = linked.withColumn("s", salt).join(salted, ["root", "s"]).select("fp", "root", "component_id")
+    final = staged(each.join(named, "fp", "left").select("fp", F.when(F.col("root").isNull(), F.col("least")).otherwise(F.col("component_id")).alias("component_id")), "components")
     spread = low.select("fp", "_run").join(final, "fp")
     return dealt.join(spread, ["fp", "_run"]).select(id_col, F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id", "fp")
