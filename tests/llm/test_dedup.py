@@ -59,6 +59,19 @@ def test_exact_hot_ids(spark):
         assert seen == {(7, "same", 7, 1000): 1, (None, "null's", None, 1000): 1}
 
 
+def test_exact_leaves_lone_rows_where_they_lie(spark):
+    """Only rows that may be in a group are dealt out; how many more the bitmap lets through decides nothing."""
+    rows = [(k, f"t{k % 1900}" if k % 2 else f"u{k}") for k in range(2000)]
+    copies = {k for k, t in rows if [u for _, u in rows].count(t) > 1}
+    keyed = exact_dedup._with_key(frame(spark, rows), "doc_id", "text", 4)
+    groups = exact_dedup.merged_runs(keyed, 4).where("n > 1").select("_check")
+    may = {r._id for r in exact_dedup._looked_up(keyed, groups, 1 << 24).where("_may").select("_id").collect()}
+    assert copies and copies <= may and len(may) < len(copies) + 10
+    assert "Union" in exact_dedup.exact_dedup(frame(spark, rows))._jdf.queryExecution().executedPlan().toString()
+    got = [{tuple(r) for r in exact_dedup.exact_dedup(frame(spark, rows), bits=n).select("doc_id", "keep_id", "group_size", "kept", "text_sha256").collect()} for n in (64, 128, 1 << 24)]
+    assert len(got[0]) == 2000 and got[0] == got[1] == got[2]
+
+
 def test_exact_all_null(spark):
     got = exact_dedup.exact_dedup(frame(spark, [(None, None)] * 5)).collect()
     assert [r.kept for r in got].count(True) == 1 and all(r.group_size == 5 and r.keep_id is None for r in got)
