@@ -43,6 +43,15 @@ def test_components_of_few_arcs_take_no_round(spark, monkeypatch):
     assert got == {f"n{k:04d}": "n0000" for k in range(501)} and len(seen) <= 2
 
 
+def test_few_arcs_over_many_partitions_take_no_round(spark, monkeypatch):
+    written, write = [], graph.staged
+    monkeypatch.setattr(graph, "staged", lambda df, label: written.append(1) or write(df, label))
+    edges = [(k, k + 1) for k in range(300)] + [(k, 1000 + k % 3) for k in range(400, 500)]
+    got = {r.node: r.root for r in graph.components(spark.createDataFrame(edges, "u long, v long").repartition(8, "u")).collect()}
+    assert got == dict.fromkeys(range(301), 0) | {n: 400 + (n - 1) % 3 for n in range(400, 500)} | {1000 + r: 400 + (r - 1) % 3 for r in range(3)}
+    assert len(written) == 2
+
+
 def test_components_of_parts_of_a_partition(spark, monkeypatch):
     """Arcs that are contracted a few at a time still end as one star for each component."""
     plain = graph._contracted

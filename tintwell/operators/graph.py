@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 from tintwell.operators.scratch import drop, ship, staged
 
 SALTS = 16
+#: So many arcs are settled in one task, wherever they lay.
+FEW = 200_000
 #: Types whose order in Python is Spark's.
 PLAIN = ("tinyint", "smallint", "int", "bigint", "string")
 
@@ -38,12 +40,16 @@ def forest(arcs: list[tuple]) -> list[tuple]:
     return [(x, r) for x in up if (r := find(x)) != x]
 
 
-def _contracted(arcs: DataFrame, most: int = 200_000) -> DataFrame:
+def _plain(arcs: DataFrame) -> bool:
+    return arcs.schema["u"].dataType.simpleString() in PLAIN
+
+
+def _contracted(arcs: DataFrame, most: int = FEW) -> DataFrame:
     """Stars in place of the arcs, for each run of at most ``most`` arcs or one Arrow batch that lie together in a partition.
 
     Nodes stay connected as they were, and no node's smallest neighbour becomes larger.
     """
-    if arcs.schema["u"].dataType.simpleString() not in PLAIN:
+    if not _plain(arcs):
         return arcs
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -75,12 +81,16 @@ def components(edges: DataFrame, max_rounds: int = 64) -> DataFrame:
     """(node, root) for every node of edges (u, v): root is the smallest node that it can reach.
 
     Nodes are of one orderable type. Loops and repeated edges are ignored. Every round is written as a table, whose arcs
-    are contracted where they lie, so that few arcs take no round at all. The loop ends when every arc leads to a root,
-    which is certain: a round lowers the smallest neighbour of some node, and raises none, until all arcs do.
+    are contracted where they lie. Once FEW are left, over however many partitions, one task settles them. The loop ends
+    when every arc leads to a root, which is certain: a round lowers the smallest neighbour of some node, and raises none,
+    until all arcs do.
     """
     arcs = edges.where("u is not null and v is not null and u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
-    now = staged(_contracted(arcs), "arcs")
+    now, gathered = staged(_contracted(arcs), "arcs"), False
     for _ in range(max_rounds):
+        if not gathered and _plain(now) and now.count() <= FEW:
+            spread, now, gathered = now, staged(_contracted(now.coalesce(1)), "arcs"), True
+            drop(spread)
         if _settled(now):
             break
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
