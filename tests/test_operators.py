@@ -285,3 +285,25 @@ def test_resizing():
     large = np.concatenate([np.full((600, 300, 3), (200, 30, 70), np.uint8), np.full((600, 300, 3), 250, np.uint8)], 1)
     found = images.observed_color(large, "swatch")
     assert found["status"] == "success" and found["color_hex"] == "#C81E46" and found["valid_pixel_count"] < 256 * 256
+
+
+def _broadcasts(df):
+    return "BroadcastExchange" in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_hamming_joins_are_never_broadcast(spark):
+    rows = spark.range(500).select("id", (F.col("id") * 3).alias("v"))
+    assert not _broadcasts(duplicates.hamming_pairs(rows, "id", "v", 3)) and not _broadcasts(duplicates.hamming_edges(rows, "id", "v", 3))
+
+
+@pytest.mark.parametrize("records", ["7", "10000"])
+def test_hamming_links_of_full_bands(spark, records):
+    rng = random.Random(3)
+    values = list({k for k in range(90)} | {-1 - k for k in range(80)} | {rng.getrandbits(64) - (1 << 63) for _ in range(50)} | {(1 << 62) + (k << 50) for k in range(70)})
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", records)
+    try:
+        got = [tuple(r) for r in duplicates.hamming_links(spark.createDataFrame([(v,) for v in [*values, values[0], None]], "v long"), "v", 5).collect()]
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    bits = lambda a, b: ((a ^ b) & ((1 << 64) - 1)).bit_count()
+    assert sorted(got) == sorted((a, b, bits(a, b)) for a, b in itertools.combinations(sorted(values), 2) if bits(a, b) <= 5)
