@@ -21,7 +21,7 @@ def _star(arcs: DataFrame) -> DataFrame:
     """(u, v, m): m is the smallest of u and its neighbours. A node with very many arcs is dealt over SALTS join keys."""
     least = arcs.groupBy("u").agg(F.min("v").alias("w")).select("u", F.least("u", "w").alias("m"))
     least = least.select("*", F.explode(F.array(*map(F.lit, range(SALTS)))).alias("s"))
-    return arcs.withColumn("s", F.pmod(F.xxhash64("v"), F.lit(SALTS)).cast("int")).join(least, ["u", "s"])
+    return arcs.withColumn("s", F.pmod(F.xxhash64("v"), F.lit(SALTS)).cast("int")).join(least.hint("merge"), ["u", "s"])
 
 
 def forest(arcs: list[tuple]) -> list[tuple]:
