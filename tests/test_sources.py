@@ -117,3 +117,15 @@ def test_stream_of_revisions(spark, tmp_path):
         query.processAllAvailable()
     query.stop()
     assert rows == ["x", "y", "x"]
+
+
+def test_stream_takes_back_before_and_after_in_spark_itself(spark, tmp_path):
+    schema = "event_id string, item_id string, kind string, value string, created_at timestamp, revokes_event_id string"
+    rows = [("r", "i", "k", None, "2024-01-09 00:00:00", "e3"), ("e1", "i", "k", "x", "2024-01-01 00:00:00", None), ("e3", "i", "k", "z", "2024-01-03 00:00:00", None), ("e2", "i", "k", "y", "2024-01-02 00:00:00", None), ("e2", "i", "k", "y", "2024-01-02 00:00:00", None), ("e4", "j", "k", "w", "2024-01-01 00:00:00", None), ("s", "j", "k", None, "2024-01-01 00:00:00", "e4")]
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "0.json").write_text("\n".join(json.dumps(dict(zip(("event_id", "item_id", "kind", "value", "created_at", "revokes_event_id"), r, strict=True))) for r in rows))
+    live = events.latest_live(spark.readStream.schema(schema).json(str(tmp_path / "in")))
+    assert "Python" not in live._jdf.queryExecution().analyzed().toString() and "Pandas" not in live._jdf.queryExecution().analyzed().toString()
+    got = []
+    live.writeStream.outputMode("update").foreachBatch(lambda df, n: got.extend((r.item_id, r.event_id, r.value) for r in df.collect())).option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start().awaitTermination()
+    assert sorted(got) == [("i", "e2", "y"), ("j", None, None)]

@@ -2,41 +2,33 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
-
-OUT = "item_id string, kind string, event_id string, value string, created_at timestamp"
-#: Live events of a key as parallel lists, and ids revoked before their event came.
-STATE = "ids array<string>, values array<string>, times array<timestamp>, revoked array<string>"
 
 
 def latest_live(events: DataFrame) -> DataFrame:
     """The latest event of each (item_id, kind) that is not revoked, again after each change.
 
     events: event_id, item_id, kind, value, created_at, revokes_event_id; a row with revokes_event_id takes that event
-    back. A key without a live event gives a row of nulls. Events that come twice count once.
+    back, before or after it comes. A key without a live event gives a row of nulls. Events that come twice count once;
+    if their times or values differ, the later time counts. The state of a key is its events and the ids taken back, as an
+    aggregation of Spark's own keeps them.
     """
-
-    def update(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        ids, values, times, revoked = state.get if state.exists else ([], [], [], [])
-        live, gone = {i: (v, t) for i, v, t in zip(ids, values, times, strict=True)}, set(revoked)
-        for batch in batches:
-            for e in batch.itertuples(index=False):
-                if pd.notna(e.revokes_event_id):
-                    gone.add(e.revokes_event_id)
-                else:
-                    live[e.event_id] = (e.value, e.created_at)
-        live = {i: v for i, v in live.items() if i not in gone}
-        state.update((list(live), [v for v, _ in live.values()], [pd.Timestamp(t).to_pydatetime() for _, t in live.values()], sorted(gone)))
-        best = max(live, key=lambda i: (pd.Timestamp(live[i][1]), i), default=None)
-        row = [*key, best, *(live[best] if best is not None else (None, pd.NaT))]
-        yield pd.DataFrame([row], columns=["item_id", "kind", "event_id", "value", "created_at"])
-
-    return events.groupBy("item_id", "kind").applyInPandasWithState(update, OUT, STATE, "update", GroupStateTimeout.NoTimeout)
+    text = lambda c: F.col(c).cast("string")
+    event = F.struct(text("event_id").alias("id"), F.lit(1).alias("live"), F.col("created_at").cast("timestamp").alias("at"), text("value").alias("value"))
+    back = F.struct(text("revokes_event_id").alias("id"), F.lit(0).alias("live"), F.lit(None).cast("timestamp").alias("at"), F.lit(None).cast("string").alias("value"))
+    seen = events.groupBy(text("item_id").alias("item_id"), text("kind").alias("kind")).agg(F.collect_set(F.when(F.col("revokes_event_id").isNull(), event).otherwise(back)).alias("_seen"))
+    best = F.struct(F.lit(None).cast("timestamp").alias("at"), F.lit(None).cast("string").alias("id"), F.lit(None).cast("string").alias("value"))
+    none = F.struct(F.lit(None).cast("string").alias("gone"), best.alias("best"))
+
+    def step(held: Column, e: Column) -> Column:
+        """A taken back id stands before its event, as rows are sorted."""
+        later = F.greatest(held["best"], F.struct(e["at"].alias("at"), e["id"].alias("id"), e["value"].alias("value")))
+        kept = F.when(e["id"] == held["gone"], held["best"]).otherwise(later)
+        return F.when(e["live"] == 0, F.struct(e["id"].alias("gone"), held["best"].alias("best"))).otherwise(F.struct(held["gone"].alias("gone"), kept.alias("best")))
+
+    last = F.aggregate(F.array_sort("_seen"), none, step)["best"]
+    return seen.select("item_id", "kind", last.alias("_last")).select("item_id", "kind", F.col("_last.id").alias("event_id"), F.col("_last.value").alias("value"), F.col("_last.at").alias("created_at"))
 
 
 def deduplicated(events: DataFrame, lateness: str = "1 hour") -> DataFrame:
